@@ -100,11 +100,12 @@ def derive_period(reference: Column, origin: Column, relation: Column, step: Col
     """Apply a declared relation; an undeclared one derives nothing."""
     relation = F.trim(F.coalesce(relation, F.lit("")))
     step = F.coalesce(step, F.lit(1))
-    return (
-        F.when((relation == "") & (F.coalesce(origin, F.lit("")) != ""), reference)
-        .when((relation == "anterior") & (step >= 1), step_back(reference, step))
-        .when(relation == "mesmo_periodo_ano_anterior", same_period_last_year(reference))
+    back = (
+        F.when((relation == "") & (F.coalesce(origin, F.lit("")) != ""), 0)
+        .when((relation == "anterior") & (step >= 1), step)
+        .when(relation == "mesmo_periodo_ano_anterior", per_year(reference["escopo"]))
     )
+    return F.when(back.isNotNull(), step_back(reference, back))
 
 
 def chart_period_key(label: Column) -> Column:
@@ -140,11 +141,11 @@ def loader_period(label: Column) -> Column:
 
 def execution_time(execution: Column) -> Column:
     """Time stamp carried by an execution id; null when it carries none."""
-    compact = F.regexp_extract(execution, "(\\d{8}T\\d{6})", 1)
-    dashed = F.regexp_extract(execution, "(\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2})", 1)
+    dashed = F.regexp_extract(execution, "(\\d{4}-\\d{2}-\\d{2}T[\\d_]+)\\.\\d+", 1)
+    compact = F.regexp_extract(execution, "(\\d{8}T\\d{6})Z", 1)
     return F.coalesce(
+        F.try_to_timestamp(F.replace(dashed, F.lit("_"), F.lit(":")), F.lit("yyyy-MM-dd'T'HH:mm:ss")),
         F.try_to_timestamp(compact, F.lit("yyyyMMdd'T'HHmmss")),
-        F.try_to_timestamp(dashed, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
     )
 
 

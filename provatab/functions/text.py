@@ -126,18 +126,14 @@ def unique_names(names: Column) -> Column:
             )
         ),
     )
-    return F.transform(
-        slugs,
-        lambda s, i: F.concat(
-            s,
-            F.when(
-                F.size(F.filter(F.slice(slugs, F.lit(1), i + 1), lambda x: x == s)) > 1,
-                F.concat(
-                    F.lit("_"), F.size(F.filter(F.slice(slugs, F.lit(1), i + 1), lambda x: x == s)).cast("string")
-                ),
-            ).otherwise(F.lit("")),
-        ),
-    )
+    def numbered(all_: Column) -> Column:
+        def name(s: Column, i: Column) -> Column:
+            nth = F.size(F.filter(F.slice(all_, F.lit(1), i + 1), lambda x: x == s))
+            return bound(nth, lambda n: F.when(n > 1, F.concat(s, F.lit("_"), n.cast("string"))).otherwise(s))
+
+        return F.transform(all_, name)
+
+    return bound(slugs, numbered)
 
 
 def stable_id(*parts: Column) -> Column:
@@ -169,54 +165,58 @@ def unit_hint(text: Column) -> Column:
 def is_title(text: Column, label: Column) -> Column:
     """N13. Title case is tested as: every letter run starts with a capital and continues in
     lower case, with at least one letter."""
-    clean = normalize_space(text)
-    lowered = F.lower(clean)
-    prefixed = F.lit(False)
-    for prefix in TITLE_PREFIXES:
-        prefixed = prefixed | lowered.startswith(prefix)
+    return bound(F.struct(normalize_space(text).alias("t"), label.alias("b")), lambda s: _titled(s["t"], s["b"]))
+
+
+def _titled(clean: Column, label: Column) -> Column:
+    prefixed = F.lower(clean).rlike("^(?:" + "|".join(TITLE_PREFIXES) + ")")
     cased = clean.rlike("[\\p{Lu}\\p{Ll}]")
-    upper = cased & (F.upper(clean) == clean)
-    title = cased & ~clean.rlike("(?<![\\p{Lu}\\p{Ll}\\p{Lt}])\\p{Ll}|(?<=[\\p{Lu}\\p{Ll}\\p{Lt}])\\p{Lu}")
+    upper = F.upper(clean) == clean
+    title = ~clean.rlike("(?<![\\p{Lu}\\p{Ll}\\p{Lt}])\\p{Ll}|(?<=[\\p{Lu}\\p{Ll}\\p{Lt}])\\p{Lu}")
     short = (F.length(clean) <= 120) & (F.size(F.split(clean, " ")) <= 14)
     return (clean != "") & (
         F.coalesce(label.isin(*TITLE_LABELS), F.lit(False))
         | ((F.length(clean) <= 140) & prefixed)
-        | (short & (upper | title))
+        | (short & cased & (upper | title))
     )
 
 
 def block_role(text: Column, label: Column) -> Column:
     """Role of a text block."""
-    clean = normalize_space(text)
-    lowered = F.lower(clean)
-    note = F.lit(False)
-    for prefix in NOTE_PREFIXES:
-        note = note | lowered.startswith(prefix)
-    colon = F.instr(clean, ":")
-    prefix_len = colon - 1
-    suffix = F.substr(clean, colon + 1, F.length(clean))
-    keyed = (colon > 0) & prefix_len.between(1, 80)
-    return (
-        F.when(clean == "", "empty")
-        .when(is_title(text, label), "title")
-        .when(note, "note")
-        .when(label.isin(*LIST_LABELS), "list_item")
-        .when(keyed & (F.trim(suffix) == ""), "field_label")
-        .when(keyed, "field")
-        .when((colon > 0) & (suffix != "") & (F.length(clean) > 160), "narrative")
-        .when(F.length(clean) > 200, "narrative")
-        .otherwise("paragraph")
-    )
+
+    def role(s: Column) -> Column:
+        clean, colon = s["t"], F.instr(s["t"], ":")
+        suffix = F.substr(clean, colon + 1, F.length(clean))
+        keyed = (colon > 1) & (colon <= 81)
+        return (
+            F.when(clean == "", "empty")
+            .when(_titled(clean, s["b"]), "title")
+            .when(F.lower(clean).rlike("^(?:" + "|".join(NOTE_PREFIXES) + ")"), "note")
+            .when(s["b"].isin(*LIST_LABELS), "list_item")
+            .when(keyed & (F.trim(suffix) == ""), "field_label")
+            .when(keyed, "field")
+            .when((colon > 0) & (suffix != "") & (F.length(clean) > 160), "narrative")
+            .when(F.length(clean) > 200, "narrative")
+            .otherwise("paragraph")
+        )
+
+    return bound(F.struct(normalize_space(text).alias("t"), label.alias("b")), role)
 
 
 def is_visual_artifact(text: Column) -> Column:
     """A mark on the page rather than words."""
-    clean = normalize_space(text)
-    symbols = F.length(F.regexp_replace(clean, "(?U)[\\d\\s]", ""))
-    quarter = F.greatest(F.lit(1), F.floor(F.length(clean) / 4).cast("int"))
-    return F.when(clean == "", True).when(clean.rlike("\\p{L}"), False).when(
-        F.length(clean) <= 12, True
-    ).otherwise(symbols >= quarter)
+
+    def test(clean: Column) -> Column:
+        symbols = F.length(F.regexp_replace(clean, "(?U)[\\d\\s]", ""))
+        quarter = F.greatest(F.lit(1), F.floor(F.length(clean) / 4).cast("int"))
+        return (
+            F.when(clean == "", True)
+            .when(clean.rlike("\\p{L}"), False)
+            .when(F.length(clean) <= 12, True)
+            .otherwise(symbols >= quarter)
+        )
+
+    return bound(normalize_space(text), test)
 
 
 def compact_text(text: Column, limit: int = 240) -> Column:

@@ -28,7 +28,7 @@ def literal_matches(
 
     ``texts`` has ``text``, ``terms`` has ``term``; both should carry the same normal form.
     ``scope`` columns must agree (a file and its own anchors). A dictionary counted as small
-    travels to the texts as one row. A larger one, or a scoped one, meets them through character
+    travels to the texts as one row, or one row per scope. A larger one meets them through character
     grams: each term is filed under its rarest gram, texts offer their distinct grams, and only
     pairs that share it are compared. Both ways give the same pairs.
     """
@@ -42,6 +42,12 @@ def literal_matches(
             *out, F.explode(F.filter("_terms", lambda t: F.col("text").contains(t))).alias("term")
         )
         return held
+    if scope and wanted.groupBy(*scope).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > few).isEmpty():
+        # No scope has many terms, so each travels with its texts as one short list.
+        packed = wanted.groupBy(*scope).agg(F.collect_list("term").alias("_terms"))
+        return slim.join(packed, scope).select(
+            *out, F.explode(F.filter("_terms", lambda t: F.col("text").contains(t))).alias("term")
+        )
     # Two-character terms and shorter are their own gram; longer ones use three characters.
     sized = wanted.withColumn(
         "_g", F.when(F.length("term") >= 3, _grams(F.col("term"), 3)).otherwise(F.array("term"))

@@ -80,16 +80,14 @@ def melt_rows(cells: DataFrame, headers: DataFrame, source_kind: str = "table")
     """
     typed = typed_cells(cells, headers)
     dimension = (F.col("semantics") == "dimension") | (F.col("value_raw") == "")
-    number = F.when(~dimension, F.col("value_num"))
-    entry = F.struct(
-        F.when(number.isNull(), F.col("column_name")).otherwise(F.concat("column_name", F.lit("__raw"))).alias("k"),
-        F.col("value_raw").alias("v"),
-    )
-    measured = F.when(number.isNotNull(), F.struct(F.col("column_name").alias("k"), number.alias("v")))
-    rows = typed.groupBy(*TABLE, "row_index").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("attributes"),
-        F.map_from_entries(F.array_sort(F.collect_list(measured))).alias("measures"),
+    # One list of cells is aggregated, so each cell is parsed once.
+    cell = F.struct(F.col("column_name").alias("k"), F.col("value_raw").alias("t"), F.when(~dimension, F.col("value_num")).alias("n"))
+    rows = typed.groupBy(*TABLE, "row_index").agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+    key = F.transform(
+        "_cells", lambda c: F.struct(F.when(c["n"].isNull(), c["k"]).otherwise(F.concat(c["k"], F.lit("__raw"))).alias("key"), c["t"].alias("value"))
     )
+    number = F.transform(F.filter("_cells", lambda c: c["n"].isNotNull()), lambda c: F.struct(c["k"].alias("key"), c["n"].alias("value")))
+    rows = rows.select(*TABLE, "row_index", F.map_from_entries(key).alias("attributes"), F.map_from_entries(number).alias("measures"))
     return rows.select(
         tx.stable_id(F.col("document_id"), F.lit(source_kind), F.col("table_id"), F.col("row_index")).alias("record_id"),
         "document_id", F.lit(source_kind).alias("source_kind"), F.col("table_id").alias("source_id"), "row_index",

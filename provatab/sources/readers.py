@@ -6,13 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 CALL_KINDS = ("entrada_llm", "resposta_llm", "erro_llm")
 RUN_KEY = "^fallback/([^/]+)/([^/]+)/document_id=([^/]+)/execution_id=([^/]+)/(.*)$"
 
 
-def read_artifacts(spark: SparkSession, glob: str, schema: StructType, *, strict: bool = True) -> DataFrame:
+def read_artifacts(spark: SparkSession, glob: str, schema: str, *, strict: bool = True) -> DataFrame:
     """One JSON value per file (or a list of objects); ``strict`` fails on anything else.
 
     ``source_key`` holds the file the row came from.
@@ -27,9 +26,10 @@ def read_artifacts(spark: SparkSession, glob: str, schema: StructType, *, strict
     )
 
 
-def read_jsonl(spark: SparkSession, glob: str, schema: StructType) -> DataFrame:
+def read_jsonl(spark: SparkSession, glob: str, schema: str) -> DataFrame:
     """JSON lines; blank lines and lines that hold no object are skipped, missing files are empty."""
-    full = StructType([*schema.fields]).add("_corrupt_record", "string")
+    names = spark.createDataFrame([], schema).columns
+    full = f"{schema}, _corrupt_record string"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(glob)
     found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
     if found is None or len(found) == 0:
@@ -41,7 +41,7 @@ def read_jsonl(spark: SparkSession, glob: str, schema: StructType) -> DataFrame:
         F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"),
         "source_key",
     )
-    return parsed.where(F.col("r._corrupt_record").isNull()).select(*[f"r.{f.name}" for f in schema.fields], "source_key")
+    return parsed.where(F.col("r._corrupt_record").isNull()).select(*[f"r.`{n}`" for n in names], "source_key")
 
 
 def key_part(key: Column, field: str) -> Column:

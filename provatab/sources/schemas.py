@@ -7,40 +7,36 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 BBOX = "struct<page_number:int,left:double,top:double,right:double,bottom:double,coord_origin:string>"
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
-
-
-TABLE_ARTIFACT = _schema(
+# Schemas are DDL text, which readers and writers take as it is.
+TABLE_ARTIFACT = (
     "kind string, name string, schema array<string>, rows array<array<string>>, "
     "files struct<metadata:string,cells:string,normalized_rows:string>"
 )
-CELLS = _schema("document_id string, table_id string, row_index int, column_index int, value_raw string")
-SECTIONS = _schema(
+CELLS = "document_id string, table_id string, row_index int, column_index int, value_raw string"
+SECTIONS = (
     "section_id string, document_id string, page_number int, title_raw string, title_canonical string, "
     "level_hint int, order_index int, parent_section_id string, self_ref string, parent_ref string, "
     f"child_refs array<string>, bbox {BBOX}"
 )
-BLOCKS = _schema(
+BLOCKS = (
     "block_id string, document_id string, page_number int, section_id string, section_title string, "
     "parent_block_id string, order_index int, level_hint int, label_raw string, role_hint string, text string, "
     f"self_ref string, parent_ref string, child_refs array<string>, bbox {BBOX}"
 )
-CHART_POINTS = _schema(
+CHART_POINTS = (
     "point_id string, document_id string, chart_id string, page_number int, section_id string, "
     "section_title string, chart_type string, chart_title_raw string, chart_title_canonical string, "
     "series_name string, category_name string, value_numeric double, value_text string, raw_row map<string,string>"
 )
-MANIFESTS = _schema(
+MANIFESTS = (
     "domain string, entity string, document_id string, execution_id string, manifest_key string, "
     "contract_uri string, artifact_uris array<string>"
 )
-AUDIT = _schema(
+AUDIT = (
     "domain string, entity string, document_id string, execution_id string, ord int, mapping_path string, "
     "tipo_origem string, arquivo_origem string, obrigatorio boolean, status_resolucao string, valor_resolvido string"
 )
@@ -95,8 +91,8 @@ OPERATIONAL = {
 }
 
 
-def operational_schema(table: str) -> StructType:
-    return _schema(OPERATIONAL[table][0])
+def operational_schema(table: str) -> str:
+    return OPERATIONAL[table][0]
 
 
 def audit_keys(

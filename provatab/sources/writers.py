@@ -11,14 +11,15 @@ from provatab.cluster import first_per_key
 
 
 def promote_to_parquet(
-    spark: SparkSession, source: str, target: str, *, schema=None, overwrite: bool = False, dry_run: bool = False
+    spark: SparkSession, source: str, target: str, *, schema=None, lines: bool = False, overwrite: bool = False, dry_run: bool = False
 ) -> int:
     """Raw JSON -> Parquet, one row out per row in; returns the number of rows.
 
-    The rows written are counted while they are written and compared with what is read back.
+    ``lines`` reads one object per line instead of one value per file. The rows written are
+    counted while they are written and compared with what is read back.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    raw = reader.option("multiLine", True).option("mode", "FAILFAST").json(source)
+    raw = reader.option("multiLine", not lines).option("mode", "FAILFAST").json(source)
     if dry_run:
         return raw.count()
     seen = Observation()

@@ -6,12 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from provatab.sources.schemas import MANIFESTS
 
 
-def new_manifests(spark: SparkSession, folder: str, schema: StructType = MANIFESTS) -> DataFrame:
+def new_manifests(spark: SparkSession, folder: str, schema: str = MANIFESTS) -> DataFrame:
     """Stream of manifests that appeared in a folder, one JSON object per line."""
     return spark.readStream.schema(schema).json(folder).withColumn("source_key", F.col("_metadata.file_path"))
 
