@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from provatab.cluster import broadcast_if_small
+from provatab.cluster import broadcast_if_small, checkpointed
 from provatab.functions import paths, periods
 from provatab.functions import text as tx
 
@@ -85,14 +85,16 @@ def contract_nodes(contracts: DataFrame, contract: str = "contract", depth: int
             break
     else:
         raise ValueError("output schema nests too deep")
-    # A path under an array item repeats the array's own path; the array row stays.
+    # A path under an array item repeats the array's own path; the array row stays. The relation is
+    # a few hundred rows that every later join reads, so the levels are walked once.
     is_array = F.bool_or(F.col("kind") == "array")
-    return found.groupBy(*CONTRACT, "path").agg(
+    nodes = found.groupBy(*CONTRACT, "path").agg(
         is_array.alias("is_array"),
         F.min_by("kind", F.col("in_array").cast("int")).alias("kind"),
         F.max(F.when(F.col("kind") == "literal", F.col("value"))).alias("literal"),
         F.max(F.when(F.col("kind") == "descriptor", F.col("value"))).alias("descriptor"),
     )
+    return checkpointed(nodes)
 
 
 def _semantic(contract: str, path: str, schema: str) -> Column:

@@ -68,7 +68,7 @@ def identities(spark, sf):
     """Customer documents: the entity is the customer, the period that of its newest order."""
     o = v.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderdate").alias("d"))
     c = v.table(spark, sf, "customer").join(o, "c_custkey")
-    label = F.concat(F.quarter("d").cast("string"), F.lit("T"), F.date_format("d", "yy"))
+    label = F.concat(F.quarter("d").cast("string"), F.lit("T"), F.date_format("d", "yyyy"))
     return c.select(
         F.col("c_mktsegment").alias("domain"), F.lit("1.2.0").alias("version"), F.col("c_custkey").cast("string").alias("document_id"),
         F.create_map(F.lit("entidade"), F.col("c_name"), F.lit("periodo"), label).alias("identity"),
@@ -200,7 +200,7 @@ PROPOSED = """proposed as (select document_id, unnest(list_filter([
  'balancos.vendas.dados[empresa=' || c_name || '].valores[papel_periodo=periodo_referencia].valor', 'balancos.vendas.dados[empresa=' || c_name || '].valores[papel_periodo=periodo_referencia].periodo',
  case when cast(document_id as bigint) % 3 = 0 then 'balancos.lancamentos.dados[empresa=' || c_name || '].valores[papel_periodo=periodo_referencia].valor' end, case when cast(document_id as bigint) % 3 = 0 then 'balancos.lancamentos.dados[empresa=' || c_name || '].valores[papel_periodo=periodo_referencia].periodo' end,
  case when cast(document_id as bigint) % 5 = 0 then 'balancos.vendas.dados[empresa=Outra].valores[papel_periodo=periodo_anterior].valor' end, case when cast(document_id as bigint) % 7 = 0 then 'balancos.nada' end,
- case when cast(document_id as bigint) % 4 = 0 then 'observacao' end, case when cast(document_id as bigint) % 9 = 0 then 'balancos.vendas.dados[empresa=' || c_name || '].valores.valor' end], x -> x is not null)) as mapping_path from newest)"""
+ case when cast(document_id as bigint) % 4 = 0 then 'observacao' end, case when cast(document_id as bigint) % 9 = 0 then 'balancos.vendas.dados[empresa=' || c_name || '].valores.valor' end], lambda x: x is not null)) as mapping_path from newest)"""
 
 
 @query(

@@ -43,7 +43,7 @@ def _(spark, sf):
 @query(
     "d16_line_charts",
     """with t as (select user_id, ts, row_number() over (partition by user_id order by event_id) as r, event_type, value from events),
- x as (select user_id, count(*) as n_rows, count(*) filter (where event_type <> 'error') as n_temporal, count(distinct cast(value as integer)) as n_distinct from t group by 1)
+ x as (select user_id, count(*) as n_rows, count(*) filter (where event_type <> 'error') as n_temporal, count(distinct floor(value)) as n_distinct from t group by 1)
  select cast(user_id as varchar) as document_id, n_rows, n_temporal, n_distinct from x where n_temporal >= greatest(2, n_rows // 2) and (n_rows <= 1 or (n_rows - n_distinct) / n_rows <= 0.5)""",
 )
 def _(spark, sf):
@@ -51,7 +51,7 @@ def _(spark, sf):
     day = F.when(F.col("event_type") == "error", "sem data").otherwise(F.date_format("ts", "MMM yyyy"))
     cells = e.select(
         F.col("user_id").cast("string").alias("document_id"), F.lit("c").alias("table_id"), F.col("event_id").alias("row_index"),
-        F.posexplode(F.array(day, F.round("value").cast("int").cast("string"))).alias("column_index", "value_raw"),
+        F.posexplode(F.array(day, F.floor("value").cast("int").cast("string"))).alias("column_index", "value_raw"),
     )
     return sr.valid_line_charts(cells).select("document_id", "n_rows", "n_temporal", "n_distinct")
 
