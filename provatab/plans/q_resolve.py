@@ -246,7 +246,8 @@ def supplier_audit(spark, sf):
 
 @query(
     "f1_dispatch",
-    """with d as (select distinct l_suppkey as k from lineitem) select unnest(['valor_fixo', 'campo_derivado', 'adivinhar', 'cabecalho_de_tabela', 'linhas_de_tabela']) as tipo_origem, unnest(['resolvido', 'resolvido', 'nao_suportado', 'resolvido', 'nao_resolvido']) as status, count(*) as n from (select k from d where exists (select 1 from lineitem where l_suppkey = k and l_linestatus = 'F')) group by all""",
+    """with d as (select distinct l_suppkey as k from lineitem where l_linestatus = 'F'), t as (select unnest(['valor_fixo', 'campo_derivado', 'adivinhar', 'cabecalho_de_tabela', 'linhas_de_tabela']) as tipo_origem, unnest(['resolvido', 'resolvido', 'nao_suportado', 'resolvido', 'nao_resolvido']) as status)
+ select tipo_origem, status, count(*) as n from d, t group by 1, 2""",
 )
 def _(spark, sf):
     docs = v.period_tables(spark, sf).where("table_id = 'vendas'").select("document_id")
