@@ -157,10 +157,10 @@ def prefer_rerun(df: DataFrame, keys: Sequence[str], run: str, suffix: str = "__
     )
 
 
-def admit_traces(df: DataFrame, name: str = "name", mode: str = "mode") -> DataFrame:
-    """Drop resolution traces, except those that revalidate a candidate."""
+def admit_traces(df: DataFrame, resolution: str, name: str = "name", mode: str = "mode") -> DataFrame:
+    """Drop traces named ``resolution``, except those that revalidate a candidate."""
     return df.where(
-        (F.col(name) != "atlas.resolucao") | F.coalesce(F.col(mode) == "revalidacao_layout_candidato", F.lit(False))
+        (F.col(name) != resolution) | F.coalesce(F.col(mode) == "revalidacao_layout_candidato", F.lit(False))
     )
 
 

@@ -16,7 +16,7 @@ from provatab.plans.registry import query
 )
 def _(spark, sf):
     """Every rendering of an amount parses back to it."""
-    l = v.table(spark, sf, "lineitem")
+    l = v.spread(v.table(spark, sf, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice", "l_discount"))
     c = v.cents(F.col("l_extendedprice"))
     plain = v.ptbr(c)
     whole = F.translate(F.format_number(F.floor(c / 100), 0), ",", ".")

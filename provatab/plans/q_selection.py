@@ -159,10 +159,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     e = v.table(spark, sf, "events").select(
-        "event_id", "event_type", F.when(F.col("event_type") == "click", "atlas.resolucao").otherwise(F.col("event_type")).alias("name"),
+        "event_id", "event_type", F.when(F.col("event_type") == "click", "resolucao").otherwise(F.col("event_type")).alias("name"),
         F.when(F.col("value") > 20, "revalidacao_layout_candidato").alias("mode"),
     )
-    return sel.admit_traces(e).select("event_id", F.col("event_type").alias("name"))
+    return sel.admit_traces(e, "resolucao").select("event_id", F.col("event_type").alias("name"))
 
 
 @query(

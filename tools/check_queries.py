@@ -40,7 +40,6 @@ def rows_of(columns, data):
 
 def connect(sf):
     con = duckdb.connect()
-    con.execute("set timezone='UTC'") if False else None
     for t in TABLES.split():
         con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     return con
