@@ -15,11 +15,7 @@ HEADLINE = (
     "n1_parsed_renderings",
     "n7_normalized_lines",
     "j4_block_roles",
-    "d1_sections",
-    "d3_nearest_section",
-    "d8_melted_rows",
     "d9_propagated_headers",
-    "d14_typed_values",
     "f8_resolved_cells",
     "f11_joined_records",
     "g4_prefiltered_evidence",
@@ -29,6 +25,7 @@ HEADLINE = (
     "e31_numeric_coverage",
     "x1_bulletin_tables",
     "x4_export_preflight",
+    "d1_sections",
 )
 
 
