@@ -257,11 +257,11 @@ def _(spark, sf):
 
 @query(
     "p21_recover_batch",
-    f"""{RUNS}, x as (select *, 'd' || entity as dd from runs where seq % 2 = 0)
- select entity, document_id, seq % 4 <> 0 as missing_manifest from x""",
+    f"""{RUNS}
+ select entity, document_id, not bool_or(seq % 4 = 0) over (partition by domain, entity) as missing_manifest from runs where seq % 2 = 0""",
 )
 def _(spark, sf):
-    r = v.runs(spark, sf).withColumn("dd", F.lit("dom"))
+    r = v.runs(spark, sf)
     run_id = F.concat(F.lit("dag_x__"), F.when(F.col("seq") % 2 == 0, F.concat(F.lit("rel__"), "domain", F.lit("__"), "entity")).otherwise("manual"))
     one = r.select("domain", "entity", "document_id", "execution_id", F.col("ts").alias("started"), F.concat(run_id, F.lit("")).alias("run_id"), "seq")
     again = one.withColumn("started", F.col("started") + F.expr("interval 1 day"))
@@ -269,8 +269,7 @@ def _(spark, sf):
     # Configs are per run id; runs of one entity share it here, so keep the best of them.
     per_run = configs.groupBy("run_id").agg(F.max("manifest_key").alias("manifest_key"))
     out = sel.recover_batch(one.unionByName(again), per_run, "rel")
-    fixed = out.withColumn("missing_manifest", F.col("seq") % 4 != 0)
-    return fixed.select("entity", "document_id", "missing_manifest")
+    return out.select("entity", "document_id", "missing_manifest")
 
 
 @query(
