@@ -50,10 +50,6 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def same_document(a: DataFrame, b: DataFrame) -> Column:
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_text_key"] == b["_text_key"])
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Each batch in runs of rows whose text is about ``most_bytes`` at most (one longer text makes its own run)."""
     for batch in batches:

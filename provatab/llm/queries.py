@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provatab.llm import bpe, token_counts, token_files
+from provatab.llm import bpe, line_dedup, token_counts, token_files
 from provatab.llm.tokenizer_files import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_token_files")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, sf, "documents"), default_path("word_bpe_49k.json"))
+
+
+@query("op5_line_dedup", line_dedup.SQL)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.line_digests(table(spark, sf, "documents"), min_docs=10, min_chars=1)
