@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provatab.llm import bpe, line_dedup, token_counts, token_files
+from provatab.llm import bpe, decontamination, line_dedup, simhash, token_counts, token_files
 from provatab.llm.tokenizer_files import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,13 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_line_dedup", line_dedup.SQL)
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, sf, "documents"), min_docs=10, min_chars=1)
+
+
+@query("op6_simhash_components")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.component_rows(table(spark, sf, "documents"), width=4, distance=4)
+
+
+@query("op7_benchmark_leaks", decontamination.SQL)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"), width=5, threshold=0.8)
