@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provatab.llm import bpe, decontamination, line_dedup, simhash, token_counts, token_files
+from provatab.llm import bpe, decontamination, line_dedup, simhash, token_counts, token_files, warc
 from provatab.llm.tokenizer_files import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,8 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_benchmark_leaks", decontamination.SQL)
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"), width=5, threshold=0.8)
+
+
+@query("op4_warc_archives", warc.SQL)
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages"), min_bytes=0)
