@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provatab.llm import bpe, decontamination, line_dedup, simhash, token_counts, token_files, warc
+from provatab.llm import bpe, decontamination, line_dedup, neighbours, simhash, token_counts, token_files, warc
 from provatab.llm.tokenizer_files import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_warc_archives", warc.SQL)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(table(spark, sf, "pages"), min_bytes=0)
+
+
+@query("op9_nearest_vectors")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "embeddings"), every=20, k=20)
