@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provatab.llm import bpe, decontamination, line_dedup, neighbours, simhash, token_counts, token_files, warc
+from provatab.llm import bpe, decontamination, line_dedup, neighbours, quality, simhash, token_counts, token_files, warc
 from provatab.llm.tokenizer_files import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,8 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_nearest_vectors")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf, "embeddings"), every=20, k=20)
+
+
+@query("op2_quality_scores")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"), folds=3, fold=1)
