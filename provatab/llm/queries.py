@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provatab.llm import bpe, decontamination, line_dedup, neighbours, quality, simhash, token_counts, token_files, warc
+from provatab.llm import bpe, decontamination, line_dedup, neighbours, quality, simhash, token_counts, token_files, toxicity, warc
 from provatab.llm.tokenizer_files import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op2_quality_scores")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"), folds=3, fold=1)
+
+
+@query("op1_toxicity_scores")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"), folds=5, fold=0)
