@@ -226,5 +226,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, folds: int = 3, fold:
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, folds: int = 3, fold: int = 1) -> DataFrame:
     """``docs`` without those predicted to be of low quality."""
-    own = docs.select([F.col(c) for c in docs.columns])
-    return score(own, train(docs, labels, folds=folds, fold=fold), name="_score").where(F.col("_score") >= 0.5).drop("_score")
+    scored = score(docs, train(docs, labels, folds=folds, fold=fold), name="__score")
+    return scored.where(F.col("__score") >= 0.5).drop("__score")

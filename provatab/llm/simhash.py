@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provatab.cluster import broadcast_if_small
-from provatab.llm.common import LOWERED, bytes_of, slices, written
+from provatab.llm.common import LOWERED, bytes_of, slices, text_key, written
 
 # Fixed value: seed of the shingle hash. Shingles counted at once; fingerprints in a block of a large meeting.
 SEED, SHINGLES, BLOCK = 42, 1 << 15, 1024
@@ -47,14 +47,15 @@ def fingerprint(text: bytes, width: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, *, width: int = 4) -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (its 64 bits as a signed long) of each row; null is an empty text."""
+    """``doc_id``, ``_text_key`` and ``fingerprint`` (its 64 bits as a signed long) of each row; null is an empty text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             prints = np.array([fingerprint(t, width) for t in bytes_of(batch)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints)], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_text_key"), pa.array(prints)], names=["doc_id", "_text_key", "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {dict(docs.dtypes)['doc_id']}, fingerprint long")
+    own = docs.select("doc_id", "text", text_key(F.col("text")).alias("_text_key"))
+    return own.mapInArrow(work, f"doc_id {dict(docs.dtypes)['doc_id']}, _text_key long, fingerprint long")
 
 
 def _signed(x: int) -> int:
@@ -167,7 +168,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 4, distance: int = 4) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``fingerprint`` (long) and ``component_id``, the smallest id reachable by links.
+    """Per row of ``docs``: ``doc_id``, ``_text_key``, ``fingerprint`` (long), ``root`` (a fingerprint that names the
+    component) and ``component_id``, the smallest id reachable by links.
 
     Null and empty texts have fingerprint 0 and link like any other. Rows without an id get the component of their
     fingerprint; it is null where no row of the component has an id.
@@ -180,19 +182,33 @@ def near_duplicates(docs: DataFrame, *, width: int = 4, distance: int = 4) -> Da
     )
     rooted = written(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(least, "root").select("fingerprint", "component_id")
-    return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    classes = rooted.join(least, "root").select("fingerprint", "root", "component_id")
+    return prints.join(classes, "fingerprint").select("doc_id", "_text_key", "fingerprint", "root", "component_id")
 
 
 def component_rows(docs: DataFrame, *, width: int = 4, distance: int = 4) -> DataFrame:
-    """``near_duplicates`` with the fingerprint as 16 lower-case hexadecimal digits."""
+    """Per row: ``doc_id``, the fingerprint as 16 lower-case hexadecimal digits, ``component_id``."""
     found = near_duplicates(docs, width=width, distance=distance)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, *, width: int = 4, distance: int = 4) -> DataFrame:
-    """``docs`` with one document of each component: the one of the smallest id. Rows without an id stay."""
-    found = near_duplicates(docs, width=width, distance=distance)
-    heads = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    first = docs.where(F.col("doc_id").isNotNull()).join(heads, "doc_id", "left_semi").select(*docs.columns)
-    return first.unionByName(docs.where(F.col("doc_id").isNull()))
+    """``docs`` with one row of each component: the one of the smallest id (rows without one come last), of equal ids
+    the one whose text hashes smallest, of equal rows any one."""
+    found = written(near_duplicates(docs, width=width, distance=distance), "simhash-classes")
+    rows = found.groupBy("root", "doc_id", "_text_key").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_text_key")
+    heads = found.groupBy("root").agg(F.min(order).alias("head"))
+    marked = rows.join(heads, "root").withColumn("stays", order == F.col("head"))
+    keys = [F.col("doc_id").alias("__id"), F.col("_text_key").alias("__key")]
+    # Rows that go, and rows that stay of which there are several.
+    marked = written(marked.where(~F.col("stays") | (F.col("n") > 1)).select(*keys, "stays"), "simhash-marked")
+    key = text_key(docs["text"])
+
+    def joined(side: DataFrame, how: str) -> DataFrame:
+        side = broadcast_if_small(side, 200_000)
+        return docs.join(side, docs["doc_id"].eqNullSafe(side["__id"]) & (key == side["__key"]), how)
+
+    kept = joined(marked.select("__id", "__key"), "left_anti")
+    again = marked.where("stays").select("__id", "__key")
+    return kept if again.isEmpty() else kept.unionByName(joined(again, "left_semi").dropDuplicates(["doc_id", "text"]))
