@@ -50,6 +50,14 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Each batch in runs of rows whose text is about ``most_bytes`` at most (one longer text makes its own run)."""
     for batch in batches:

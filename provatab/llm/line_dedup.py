@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provatab.cluster import broadcast_if_small
-from provatab.llm.common import LOWER, LOWERED, SPACES, UPPER, bytes_of, slices, text_key, written
+from provatab.llm.common import LOWER, LOWERED, SPACES, UPPER, bytes_of, free_name, slices, text_key, written
 
 _SPACES = SPACES.encode()
 # Places of lines whose hash is settled, of lines of a hash at a partition's border, and that hash's count there.
@@ -158,15 +158,18 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     A text whose lines are all kept stays as it is; null stays null unless lines go. A document that loses all its
     lines has an empty text. Other columns stay; ones called ``n_lines`` or ``n_dropped`` are replaced.
     """
-    keyed = docs.drop("n_lines", "n_dropped").withColumn("__text_key", text_key(F.col("text")))
-    marks = bitmaps.select(F.col("doc_id").alias("__id"), F.col("_text_key").alias("__key"), "n_dropped", F.col("dropped").alias("__dropped"))
-    joined = keyed.join(marks, keyed["doc_id"].eqNullSafe(marks["__id"]) & (keyed["__text_key"] == marks["__key"]), "left").drop("__id", "__key", "__text_key")
+    own = docs.drop("n_lines", "n_dropped")
+    bits, key = free_name(own, "_bits"), free_name(own, "_key")
+    keyed = own.withColumn(key, text_key(F.col("text")))
+    marks = bitmaps.select(F.col("doc_id").alias("_id"), F.col("_text_key").alias("_of"), F.col("dropped").alias(bits))
+    same = keyed["doc_id"].eqNullSafe(marks["_id"]) & (keyed[key] == marks["_of"])
+    joined = keyed.join(marks, same, "left").select(*[keyed[c] for c in own.columns], marks[bits])
     fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.drop("n_lines", "n_dropped").schema]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts, lines, dropped = batch.column("text").to_pylist(), [], []
-            for i, marks_ in enumerate(batch.column("__dropped").to_pylist()):
+            for i, marks_ in enumerate(batch.column(bits).to_pylist()):
                 text = texts[i] or ""
                 lines.append(text.count("\n") + 1)
                 dropped.append(0)
@@ -176,7 +179,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
                     kept = [x for x, gone in zip(cut, mask) if not gone] + cut[len(mask) :]
                     texts[i] = "\n".join(kept)
                     dropped[-1] = len(cut) - len(kept)
-            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if n not in ("__dropped", "n_dropped")}
+            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if n != bits}
             columns |= {"text": pa.array(texts, pa.string()), "n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())}
             yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provatab.llm.common import bytes_of, held_out, slices
+from provatab.llm.common import bytes_of, free_name, held_out, slices
 
 # Buckets as a power of two, labelled rows learned from (half of each label at most), passes, bytes hashed at once.
 BITS, ROWS, PASSES, BLOCK = 18, 6_000, 2, 1 << 20
@@ -162,7 +162,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, folds: in
     halves = [hashed.where(F.col("y") == y).orderBy("_h", "doc_id").limit(rows // 2) for y in (0, 1)]
     picked = halves[0].unionByName(halves[1]).select(F.col("doc_id").alias("_id"), "y")
     # At most ``rows`` ids.
-    own = docs.join(F.broadcast(picked), docs["doc_id"] == F.col("_id")).select("doc_id", "text", "y")
+    own = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
     return own.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
 
@@ -226,5 +226,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, folds: int = 3, fold:
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, folds: int = 3, fold: int = 1) -> DataFrame:
     """``docs`` without those predicted to be of low quality."""
-    scored = score(docs, train(docs, labels, folds=folds, fold=fold), name="__score")
-    return scored.where(F.col("__score") >= 0.5).drop("__score")
+    name = free_name(docs, "_score")
+    scored = score(docs, train(docs, labels, folds=folds, fold=fold), name=name)
+    return scored.where(F.col(name) >= 0.5).drop(name)

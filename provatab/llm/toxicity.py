@@ -167,7 +167,9 @@ def tokens(text: str) -> set[str]:
     """What stands between white space, and letters spaced out taken together."""
     found = set(text.split())
     if _SPACED.search(text):
-        found |= {re.sub(r"\s", "", m.group()) for m in _SPACED.finditer(text)}
+        runs = {re.sub(r"\s", "", m.group()) for m in _SPACED.finditer(text)}
+        # A word of one letter may stand before or behind a spaced word.
+        found |= runs | {r[1:] for r in runs if len(r) > 4} | {r[:-1] for r in runs if len(r) > 4}
     return found
 
 

@@ -72,7 +72,8 @@ def test_disguises_are_decoded():
         "$cum": "scum", "TRASH###": "trash", "i-d-i-o-t": "idiot", "tr*sh": "trash", "plain": "plain",
     }.items():
         assert word in decoder.restored(token), (token, decoder.restored(token))
-    assert decoder.restored("***") == () and decoder.restored("2023") == ("2023",) and "idiot" in toxicity.tokens("x i d i o t y")
+    assert decoder.restored("***") == () and decoder.restored("2023") == ("2023",) and "idiot" in toxicity.tokens("see i d i o t here")
+    assert "idiot" in toxicity.tokens("a i d i o t")
 
 
 def plain_viterbi(token, costs):
