@@ -219,12 +219,13 @@ def is_visual_artifact(text: Column) -> Column:
     return bound(normalize_space(text), test)
 
 
-def compact_text(text: Column, limit: int = 240) -> Column:
-    """One line, cut with an ellipsis; null when empty."""
+def compact_text(text: Column, limit: int | None = None) -> Column:
+    """One line, cut with an ellipsis beyond ``limit`` if given; null when empty."""
     clean = normalize_space(text)
-    return F.when(clean == "", None).when(F.length(clean) <= limit, clean).otherwise(
-        F.concat(F.substring(clean, 1, limit - 3), F.lit("..."))
-    )
+    whole = F.when(clean != "", clean)
+    if limit is None:
+        return whole
+    return F.when(F.length(clean) > limit, F.concat(F.substring(clean, 1, limit - 3), F.lit("..."))).otherwise(whole)
 
 
 def key_value(text: Column) -> Column:

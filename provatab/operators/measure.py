@@ -19,35 +19,88 @@ from provatab.operators.contract import CONTRACT, key_filters, match_targets
 NO_FILE_KINDS = ("valor_fixo", "campo_derivado")
 
 # Metrics where more is better, where less is better, and those that may not regress.
-HIGHER_IS_BETTER = """
-e2e_sucesso e2e_autonomia_deterministica e2e_apto_para_bronze e2e_cobertura_final
-resolucao_cobertura_campos resolucao_cobertura_obrigatorios resolucao_cobertura_obs resolucao_cobertura_do_contrato
-validacao_taxa_aprovacao_regras validacao_cobertura_de_regras validacao_regras_total
-revalidacao_gate_efetivo revalidacao_regras_executadas
-llm_acerto_1a_tentativa llm_etapa_sucesso fallback_candidato_valido
-transicao_extracao_para_resolucao transicao_fallback_para_resolucao transicao_resolucao_para_bronze
-avaliacao_precisao avaliacao_revocacao avaliacao_f1 avaliacao_igualdade_exata avaliacao_schema_valido
-avaliacao_candidato_valido avaliacao_acerto_tipo_origem avaliacao_acerto_arquivo_origem avaliacao_acerto_instrucao_origem
-selecao_evidencia_especifica selecao_prefiltro_reducao selecao_prefiltro_leitura_completa selecao_escolha_dentro_do_prefiltro
-estrutura_tabela_lida papel_coluna_origem_contrato
-assinatura_f0_selecao_precisao assinatura_f0_selecao_revocacao
-assinatura_f1_filtro_chave_declarada assinatura_f1_filtro_seletor_igual_ao_contrato assinatura_f1_cobertura_obrigatorios
-assinatura_f1_cobertura_opcionais assinatura_f1_estrutura_valida assinatura_f1_entradas_obrigatorias_cobertas
-assinatura_f1_contexto_irmao_presente assinatura_f1_filtro_valor_identidade_correto
-assinatura_f2_estrutura_tabela_lida assinatura_f2_papel_coluna_origem_contrato assinatura_f2_papel_coluna_correto
-assinatura_f3_arquivo_origem_correto assinatura_f3_rotulo_linha_correto assinatura_f3_indice_coluna_correto
-""".split()
-LOWER_IS_BETTER = """
-e2e_tokens_llm e2e_duracao_segundos fallback_tokens_total fallback_tentativas_llm_total llm_tentativas llm_tokens_total
-resolucao_campos_nao_resolvidos validacao_regras_reprovadas transicao_resolucao_para_fallback
-selecao_evidencia_descartada selecao_candidatos_por_requisito assinatura_f0_selecao_artefatos_por_requisito
-assinatura_f1_array_sem_filtro assinatura_f1_paths_fora_do_permitido assinatura_f1_filtro_papel_literal
-assinatura_f1_chaves_fora_das_esperadas assinatura_f3_ausencia_falso_negativo assinatura_f3_ausencia_falso_positivo
-""".split()
-GUARDS = """
-e2e_apto_para_bronze resolucao_cobertura_obrigatorios revalidacao_gate_efetivo validacao_cobertura_de_regras
-avaliacao_revocacao assinatura_f0_selecao_revocacao assinatura_f1_cobertura_obrigatorios assinatura_f3_arquivo_origem_correto
-""".split()
+HIGHER_IS_BETTER = (
+    "e2e_sucesso",
+    "e2e_autonomia_deterministica",
+    "e2e_apto_para_bronze",
+    "e2e_cobertura_final",
+    "resolucao_cobertura_campos",
+    "resolucao_cobertura_obrigatorios",
+    "resolucao_cobertura_obs",
+    "resolucao_cobertura_do_contrato",
+    "validacao_taxa_aprovacao_regras",
+    "validacao_cobertura_de_regras",
+    "validacao_regras_total",
+    "revalidacao_gate_efetivo",
+    "revalidacao_regras_executadas",
+    "llm_acerto_1a_tentativa",
+    "llm_etapa_sucesso",
+    "fallback_candidato_valido",
+    "transicao_extracao_para_resolucao",
+    "transicao_fallback_para_resolucao",
+    "transicao_resolucao_para_bronze",
+    "avaliacao_precisao",
+    "avaliacao_revocacao",
+    "avaliacao_f1",
+    "avaliacao_igualdade_exata",
+    "avaliacao_schema_valido",
+    "avaliacao_candidato_valido",
+    "avaliacao_acerto_tipo_origem",
+    "avaliacao_acerto_arquivo_origem",
+    "avaliacao_acerto_instrucao_origem",
+    "selecao_evidencia_especifica",
+    "selecao_prefiltro_reducao",
+    "selecao_prefiltro_leitura_completa",
+    "selecao_escolha_dentro_do_prefiltro",
+    "estrutura_tabela_lida",
+    "papel_coluna_origem_contrato",
+    "assinatura_f0_selecao_precisao",
+    "assinatura_f0_selecao_revocacao",
+    "assinatura_f1_filtro_chave_declarada",
+    "assinatura_f1_filtro_seletor_igual_ao_contrato",
+    "assinatura_f1_cobertura_obrigatorios",
+    "assinatura_f1_cobertura_opcionais",
+    "assinatura_f1_estrutura_valida",
+    "assinatura_f1_entradas_obrigatorias_cobertas",
+    "assinatura_f1_contexto_irmao_presente",
+    "assinatura_f1_filtro_valor_identidade_correto",
+    "assinatura_f2_estrutura_tabela_lida",
+    "assinatura_f2_papel_coluna_origem_contrato",
+    "assinatura_f2_papel_coluna_correto",
+    "assinatura_f3_arquivo_origem_correto",
+    "assinatura_f3_rotulo_linha_correto",
+    "assinatura_f3_indice_coluna_correto",
+)
+LOWER_IS_BETTER = (
+    "e2e_tokens_llm",
+    "e2e_duracao_segundos",
+    "fallback_tokens_total",
+    "fallback_tentativas_llm_total",
+    "llm_tentativas",
+    "llm_tokens_total",
+    "resolucao_campos_nao_resolvidos",
+    "validacao_regras_reprovadas",
+    "transicao_resolucao_para_fallback",
+    "selecao_evidencia_descartada",
+    "selecao_candidatos_por_requisito",
+    "assinatura_f0_selecao_artefatos_por_requisito",
+    "assinatura_f1_array_sem_filtro",
+    "assinatura_f1_paths_fora_do_permitido",
+    "assinatura_f1_filtro_papel_literal",
+    "assinatura_f1_chaves_fora_das_esperadas",
+    "assinatura_f3_ausencia_falso_negativo",
+    "assinatura_f3_ausencia_falso_positivo",
+)
+GUARDS = (
+    "e2e_apto_para_bronze",
+    "resolucao_cobertura_obrigatorios",
+    "revalidacao_gate_efetivo",
+    "validacao_cobertura_de_regras",
+    "avaliacao_revocacao",
+    "assinatura_f0_selecao_revocacao",
+    "assinatura_f1_cobertura_obrigatorios",
+    "assinatura_f3_arquivo_origem_correto",
+)
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -642,12 +695,11 @@ def regression_items(runs: DataFrame) -> DataFrame:
     has_resolved, has_selection, has_selection_input, has_candidate, has_candidate_input`` and
     ``approved``.
     """
-    tail = F.substring(F.col("execution_id"), -24, 24)
     sets = F.array(
         F.when(F.col("has_publication") & F.col("has_resolved"), F.struct(F.lit("e2e").alias("dataset"), F.concat_ws("::", F.lit("e2e"), "entity", "document_id").alias("item_id"))),
-        F.when(F.col("has_selection") & F.col("has_selection_input"), F.struct(F.lit("selecao").alias("dataset"), F.concat_ws("::", F.lit("selecao"), "entity", "document_id", tail).alias("item_id"))),
-        F.when(F.col("has_candidate") & F.col("has_candidate_input"), F.struct(F.lit("candidato").alias("dataset"), F.concat_ws("::", F.lit("candidato"), "entity", "document_id", tail).alias("item_id"))),
-        F.when(F.col("has_candidate"), F.struct(F.lit("transicao").alias("dataset"), F.concat_ws("::", F.lit("transicao"), "entity", "document_id", tail).alias("item_id"))),
+        F.when(F.col("has_selection") & F.col("has_selection_input"), F.struct(F.lit("selecao").alias("dataset"), F.concat_ws("::", F.lit("selecao"), "entity", "document_id", "execution_id").alias("item_id"))),
+        F.when(F.col("has_candidate") & F.col("has_candidate_input"), F.struct(F.lit("candidato").alias("dataset"), F.concat_ws("::", F.lit("candidato"), "entity", "document_id", "execution_id").alias("item_id"))),
+        F.when(F.col("has_candidate"), F.struct(F.lit("transicao").alias("dataset"), F.concat_ws("::", F.lit("transicao"), "entity", "document_id", "execution_id").alias("item_id"))),
     )
     label = F.when(F.coalesce("approved", F.lit(False)), "aprovado").otherwise("reprovado")
     return runs.select("domain", "entity", "document_id", "execution_id", label.alias("label"), F.explode(F.array_compact(sets)).alias("_i")).select(

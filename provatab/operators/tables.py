@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provatab.cluster import CHUNK, last_before, neighbours, ordinals, running_totals
@@ -394,21 +394,22 @@ def segments(labels: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
 # --- inventory and windows --------------------------------------------------------------------
 
 
-def inventory(evidence: Mapping[str, DataFrame], samples: int = 5, *, chunk: int = CHUNK) -> DataFrame:
+def inventory(evidence: Mapping[str, DataFrame], samples: int = 5, *, shown: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """One summary row per table, chart or collection.
 
     Each input has ``document_id, artifact, ord, label, page_number``. Samples are the first
-    distinct labels; the rest are cut by position before anything is collected.
+    distinct labels, whole (``shown`` cuts what is listed, after they were told apart); the rest
+    are cut by position before anything is collected.
     """
     key = ["document_id", "artifact"]
     parts = []
     for kind, rows in evidence.items():
         counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n_records"), F.min("page_number").alias("first_page"))
-        shown = rows.select(*key, "ord", tx.compact_text(F.col("label")).alias("label")).where("label is not null")
-        firsts = shown.groupBy(*key, "label").agg(F.min("ord").alias("ord"))
+        named = rows.select(*key, "ord", tx.compact_text(F.col("label")).alias("label")).where("label is not null")
+        firsts = named.groupBy(*key, "label").agg(F.min("ord").alias("ord"))
         head = ordinals(firsts, key, "ord", "_rn", chunk=chunk).where(F.col("_rn") <= samples)
         listed = head.groupBy(*key).agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("ord", "label"))), lambda s: s["label"]).alias("samples")
+            F.transform(F.array_sort(F.collect_list(F.struct("ord", "label"))), lambda s: tx.compact_text(s["label"], shown)).alias("samples")
         )
         parts.append(
             counts.join(listed, key, "left").select(
@@ -424,16 +425,20 @@ def grouped_sources(rows: DataFrame, key: Sequence[str], position: str, *, chunk
     return ordinals(rows, key, position, "member", chunk=chunk)
 
 
-def row_windows(rows: DataFrame, *, whole: int = 80, chars: int = 40_000, window: int = 12) -> DataFrame:
-    """Rows shown of each table: all of a small one, else windows at start, middle and end.
+def row_windows(rows: DataFrame, *, whole: int | None = None, chars: int | None = None, window: int = 12) -> DataFrame:
+    """Rows shown of each table: all of them, or of a table above ``whole`` rows or ``chars``
+    characters (both off by default) windows at start, middle and end.
 
     ``rows`` has ``row_index`` (dense from 0) and ``cells``. The size of a table is the length of
     its rows written as JSON. A row inside two windows is shown in both.
     """
+    if whole is None and chars is None:
+        return rows.withColumns({"mode": F.lit("completo"), "window_start": F.lit(0).cast("long")})
     spaced = F.length(F.to_json("cells")) + F.size("cells") - 1
     size = rows.groupBy(*TABLE).agg(F.count(F.lit(1)).alias("_n"), (F.sum(spaced) + 2 * F.count(F.lit(1))).alias("_c"))
     n, r = F.col("_n"), F.col("row_index")
-    small = (n <= whole) & (F.col("_c") <= chars)
+    small = F.lit(True) if whole is None else n <= whole
+    small = small if chars is None else small & (F.col("_c") <= chars)
     last = F.greatest(F.lit(0).cast("long"), n - window)
     starts = F.array_distinct(F.array(F.lit(0).cast("long"), F.floor(last / 2).cast("long"), last))
     shown = F.when(small, F.array(F.lit(0).cast("long"))).otherwise(
@@ -443,17 +448,17 @@ def row_windows(rows: DataFrame, *, whole: int = 80, chars: int = 40_000, window
     return rows.join(size, TABLE).select(*rows.columns, mode.alias("mode"), F.explode(shown).alias("window_start"))
 
 
-def chunk_records(rows: DataFrame, size: int = 40, limit: int | None = 8) -> DataFrame:
-    """Records in chunks of ``size`` by their dense position ``ord``; ``limit`` chunks shown."""
+def chunk_records(rows: DataFrame, size: int = 40, limit: int | None = None) -> DataFrame:
+    """Records in chunks of ``size`` by their dense position ``ord``; only the first ``limit`` chunks if given."""
     chunked = rows.withColumn("chunk", F.floor(F.col("ord") / size).cast("int"))
     return chunked if limit is None else chunked.where(F.col("chunk") < limit)
 
 
-def anchor_hits(lines: DataFrame, anchors: DataFrame, limit: int = 12, *, chunk: int = CHUNK) -> DataFrame:
+def anchor_hits(lines: DataFrame, anchors: DataFrame, limit: int | None = None) -> DataFrame:
     """First line of each file that literally holds each anchor, accents and case apart.
 
-    At most ``limit`` anchors are reported per file, in the order they are met; a line is
-    searched as the text it is, JSON or not.
+    With ``limit`` at most that many anchors are reported per file, in the order they are met (by
+    line, then by their own order); a line is searched as the text it is, JSON or not.
     """
     keyed = lines.select("document_id", "line", tx.normalize_text(F.col("text")).alias("text"))
     wanted = anchors.select("document_id", "anchor", "ord", tx.normalize_text(F.col("anchor")).alias("term")).where("term <> ''")
@@ -461,5 +466,8 @@ def anchor_hits(lines: DataFrame, anchors: DataFrame, limit: int = 12, *, chunk:
     # An anchor written twice is one; its first spelling stays.
     firsts = hits.groupBy("document_id", "term").agg(F.min("line").alias("line"))
     named = firsts.join(wanted.groupBy("document_id", "term").agg(F.min(F.struct("ord", "anchor")).alias("_a")), ["document_id", "term"])
-    met = named.select("document_id", F.col("_a.anchor").alias("anchor"), "line", (F.col("line") * 4096 + F.col("_a.ord")).alias("_met"))
-    return ordinals(met, ["document_id"], "_met", "_rn", chunk=chunk).where(F.col("_rn") <= limit).drop("_met", "_rn")
+    met = named.select("document_id", F.col("_a.anchor").alias("anchor"), "line", F.col("_a.ord").alias("_ord"))
+    if limit is not None:
+        order = Window.partitionBy("document_id").orderBy("line", "_ord")
+        met = met.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= limit).drop("_rn")
+    return met.drop("_ord")

@@ -217,7 +217,7 @@ def _(spark, sf):
 
 @query(
     "n27_compact_texts",
-    f"with c as (select doc_id, {v.CLEAN.format(t='text')} as c from documents) select doc_id, case when c = '' then null when length(c) <= 240 then c else substr(c, 1, 237) || '...' end as shown from c",
+    f"with c as (select doc_id, {v.CLEAN.format(t='text')} as c from documents) select doc_id, case when c <> '' then c end as shown from c",
 )
 def _(spark, sf):
     return v.table(spark, sf, "documents").select("doc_id", text.compact_text(F.col("text")).alias("shown"))

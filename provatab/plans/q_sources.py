@@ -29,16 +29,19 @@ def _(spark, sf):
     return rows.select("page_id", "url", F.length("html").cast("bigint").alias("n"))
 
 
-@query("s2_jsonl_scan", "select event_id, event_type from events where event_type <> 'error'")
+@query(
+    "s2_jsonl_scan",
+    """select event_id, event_type, case when event_id % 5 = 1 then null else cast(event_id % 100 as bigint) end as size from events where event_type <> 'error'""",
+)
 def _(spark, sf):
     folder = _shared_folder(spark) + "/events"
     e = v.table(spark, sf, "events")
-    line = F.when(F.col("event_type") == "error", F.when(F.col("value") > 10, "[1, 2]").otherwise('{"event_id": broken')).otherwise(
-        F.to_json(F.struct("event_id", "event_type"))
-    )
+    # Objects behind a tab, with a number as text, and with a field that isn't a number: all valid lines.
+    size = F.when(F.col("event_id") % 5 == 1, F.lit('"many"')).when(F.col("event_id") % 5 == 2, F.concat(F.lit('"'), (F.col("event_id") % 100).cast("string"), F.lit('"'))).otherwise((F.col("event_id") % 100).cast("string"))
+    valid = F.concat(F.when(F.col("event_id") % 3 == 0, F.lit("\t")).otherwise(F.lit("")), F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_type": "'), "event_type", F.lit('", "size": '), size, F.lit("}"))
+    line = F.when(F.col("event_type") == "error", F.when(F.col("value") > 10, "[1, 2]").otherwise('{"event_id": broken')).otherwise(valid)
     e.select(F.explode(F.array(line, F.lit(" "))).alias("value")).write.text(folder)
-    schema = "event_id bigint, event_type string"
-    return readers.read_jsonl(spark, folder, schema).select("event_id", "event_type")
+    return readers.read_jsonl(spark, folder, "event_id bigint, event_type string, size bigint").drop("source_key")
 
 
 @query("s3_strict_lists", "select conv_id, turn, role from conversations")
@@ -128,15 +131,20 @@ def _(spark, sf):
 
 @query(
     "s11_published_runs",
-    "select o_orderstatus as entity, count(*) as n_validation, count(*) as n_resolved from orders group by 1",
+    """select o_orderstatus as entity, case when o_orderkey % 2 = 0 then 'x' else 'y' end as execution_id, count(*) as n_validation, count(*) as n_resolved, count(*) as n_audit from orders group by 1, 2""",
 )
 def _(spark, sf):
     folder = _shared_folder(spark)
-    r = v.runs(spark, sf).select(F.col("run_status").alias("entity"), F.date_format("ts", "yyyy").alias("document_id"), F.lit("x").alias("execution_id"), "seq", "price")
-    writers.publish_run(r.drop("price"), r, r.drop("price"), folder)
-    a = spark.read.parquet(f"{folder}/validation").groupBy("entity").agg(F.count(F.lit(1)).alias("n_validation"))
-    b = spark.read.parquet(f"{folder}/resolved").groupBy("entity").agg(F.count(F.lit(1)).alias("n_resolved"))
-    return a.join(b, "entity")
+    r = v.runs(spark, sf).select(
+        F.col("run_status").alias("entity"), F.date_format("ts", "yyyy").alias("document_id"), F.when(F.col("seq") % 2 == 0, "x").otherwise("y").alias("execution_id"), "seq", "price",
+    )
+    # Each run is published by itself, and one of them twice.
+    for run in ("x", "y", "x"):
+        own = r.where(F.col("execution_id") == run)
+        writers.publish_run(own.drop("price"), own, own.drop("price"), folder)
+    keys = ["entity", "execution_id"]
+    counts = [spark.read.parquet(f"{folder}/{t}").groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n_{t}")) for t in ("validation", "resolved", "audit")]
+    return counts[0].join(counts[1], keys).join(counts[2], keys)
 
 
 @query(

@@ -151,7 +151,7 @@ def _(spark, sf):
 
 @query(
     "d24_inventory",
-    f"""with {v.ITEMS_SQL}, s as (select document_id, min(order_index) as ord, case when length(c) <= 240 then c else substr(c, 1, 237) || '...' end as label from (select *, {v.CLEAN.format(t='text')} as c from items) where c <> '' group by 1, 3),
+    f"""with {v.ITEMS_SQL}, s as (select document_id, min(order_index) as ord, c as label from (select *, {v.CLEAN.format(t='text')} as c from items) where c <> '' group by 1, 3),
  n as (select document_id, string_agg(label, '|' order by ord) as samples from (select * from s qualify row_number() over (partition by document_id order by ord) <= 5) group by 1)
  select 'blocks' as kind, document_id, 'blocks' as artifact, count(*) as n_records, 1 as first_page, any_value(coalesce(samples, '')) as samples from items left join n using (document_id) group by 2
  union all select 'table', cast(l_orderkey as varchar), 'itens', count(*), null, string_agg(distinct 'x', '') from lineitem group by 2""",
@@ -174,26 +174,20 @@ def _(spark, sf):
 
 @query(
     "d26_row_windows",
-    """with r as (select user_id, cast(row_number() over (partition by user_id order by event_id) - 1 as integer) as row_index, count(*) over (partition by user_id) as n,
-  sum(length(event_type) + length(cast(event_id as varchar)) + 9 + 0) over (partition by user_id) as c from events)
- select cast(user_id as varchar) as document_id, row_index, case when n <= 60 and c <= 40000 then 'completo' else 'janelas_deterministicas' end as mode, cast(w as bigint) as window_start
- from (select *, unnest(case when n <= 60 and c <= 40000 then [0] else list_distinct([0, greatest(0, n - 12) // 2, greatest(0, n - 12)]) end) as w from r)
- where (n <= 60 and c <= 40000) or (row_index >= w and row_index < w + 12)""",
+    "select cast(user_id as varchar) as document_id, cast(row_number() over (partition by user_id order by event_id) - 1 as integer) as row_index, 'completo' as mode, cast(0 as bigint) as window_start from events",
 )
 def _(spark, sf):
-
-
     w = Window.partitionBy("user_id").orderBy("event_id")
     e = v.table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("document_id"), F.lit("t").alias("table_id"), (F.row_number().over(w) - 1).cast("int").alias("row_index"),
         F.array("event_type", F.col("event_id").cast("string")).alias("cells"),
     )
-    return tb.row_windows(e, whole=60).select("document_id", "row_index", "mode", "window_start")
+    return tb.row_windows(e).select("document_id", "row_index", "mode", "window_start")
 
 
 @query(
     "d27_record_chunks",
-    "select cast(user_id as varchar) as document_id, cast(r // 40 as integer) as chunk, count(*) as n from (select user_id, row_number() over (partition by user_id order by event_id) - 1 as r from events) where r // 40 < 8 group by 1, 2",
+    "select cast(user_id as varchar) as document_id, cast(r // 40 as integer) as chunk, count(*) as n from (select user_id, row_number() over (partition by user_id order by event_id) - 1 as r from events) group by 1, 2",
 )
 def _(spark, sf):
     e = v.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("document_id"), "event_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,21 +28,22 @@ def read_artifacts(spark: SparkSession, glob: str, schema: str, *, strict: bool
 
 
 def read_jsonl(spark: SparkSession, glob: str, schema: str) -> DataFrame:
-    """JSON lines; blank lines and lines that hold no object are skipped, missing files are empty."""
-    names = spark.createDataFrame([], schema).columns
-    full = f"{schema}, _corrupt_record string"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(glob)
-    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
-    if found is None or len(found) == 0:
+    """JSON lines; blank lines and lines that hold no object are skipped, missing files are empty.
+
+    Every object stays: a field of another type than asked for is cast if it can be and null if not.
+    """
+    fields = spark.createDataFrame([], schema).schema.fields
+    try:
+        # Lines are split first, so one bad line never hides its neighbours.
+        lines = spark.read.text(glob).select("value", F.col("_metadata.file_path").alias("source_key"))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema).withColumn("source_key", F.lit(None).cast("string"))
-    # Lines are split first, so one bad line never hides its neighbours.
-    lines = spark.read.text(glob).select("value", F.col("_metadata.file_path").alias("source_key"))
-    objects = lines.where(F.trim("value").startswith("{"))
-    parsed = objects.select(
-        F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"),
-        "source_key",
-    )
-    return parsed.where(F.col("r._corrupt_record").isNull()).select(*[f"r.`{n}`" for n in names], "source_key")
+    parsed = lines.where(F.col("value").rlike(r"^\s*\{")).select(F.try_parse_json("value").alias("_v"), "source_key")
+    quoted = [(f, f.name.replace("\\", "\\\\").replace("'", "\\'")) for f in fields]
+    picked = [F.try_variant_get("_v", f"$['{name}']", f.dataType.simpleString()).alias(f.name) for f, name in quoted]
+    return parsed.where(F.col("_v").isNotNull()).select(*picked, "source_key")
 
 
 def key_part(key: Column, field: str) -> Column:

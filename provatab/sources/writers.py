@@ -58,10 +58,13 @@ def write_tables(tables: Mapping[str, DataFrame], path: str, *, mode: str = "ove
 
 
 def publish_run(validation: DataFrame, rows: DataFrame, audit: DataFrame, path: str) -> None:
-    """Validation report, resolved rows and audit, laid out by entity, document and execution."""
+    """Validation report, resolved rows and audit, laid out by entity, document and execution.
+
+    Publishing a run again replaces that run; all other runs stay.
+    """
     by = ["entity", "document_id", "execution_id"]
     for name, table in (("validation", validation), ("resolved", rows), ("audit", audit)):
-        write_routed(table, f"{path}/{name}", by, mode="overwrite")
+        table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{path}/{name}")
 
 
 def collection_stats(collections: Mapping[str, DataFrame], key: str = "document_id") -> DataFrame:
