@@ -12,6 +12,7 @@ lost executor leaves at most a file that nothing names.
 from __future__ import annotations
 
 import functools
+import struct
 import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
@@ -44,61 +45,33 @@ class Encoder:
         self.special = files.load(path).special
         self.cutter = files.special_cutter(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.type = np.dtype(f"<u{self.width}")
-        self.parts, self.words = Kept(KEPT), Kept(KEPT)
+        self.letters = files.byte_letters()
+        self.parts, self.words = Kept(KEPT, self.part), Kept(KEPT, self.word)
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.type).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text."""
-        bits, spans = [], []
-        for text in texts:
-            own = [text]
-            if self.cutter is not None and "<" in text:
-                own, at = [], 0
-                for m in self.cutter.finditer(text):
-                    own += [text[at : m.start()], self.special[m.group()]]
-                    at = m.end()
-                own.append(text[at:])
-            spans.append(len(own))
-            bits += own
-        cut = [b.replace("\n", " ").split(" ") if isinstance(b, str) else b for b in bits]
-        parts = self.fill({p for c in cut if isinstance(c, list) for p in c})
-        coded = [b"".join(map(parts.__getitem__, c)) if isinstance(c, list) else self.packed([c]) for c in cut]
-        out, at = [], 0
-        for n in spans:
-            out.append(coded[at] if n == 1 else b"".join(coded[at : at + n]))
-            at += n
-        return out
-
-    def fill(self, asked: set[str]) -> dict[str, bytes]:
-        known, new = {}, []
-        for p in asked:
-            ids = self.parts.get(p)
-            if ids is None:
-                ids = self.parts.recall(p)
-            if ids is None:
-                new.append(p)
-            else:
-                known[p] = ids
-        cut = [files.part_words(p) for p in new]
-        words, fresh = {}, []
-        for w in {w for c in cut for w in c}:
-            ids = self.words.get(w)
-            if ids is None:
-                ids = self.words.recall(w)
-            if ids is None:
-                fresh.append(w)
-            else:
-                words[w] = ids
-        for w, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            words[w] = self.packed(e.ids)
-            self.words.put(w, words[w])
-        for p, c in zip(new, cut, strict=True):
-            known[p] = words[c[0]] if len(c) == 1 else b"".join([words[w] for w in c])
-            self.parts.put(p, known[p])
-        return known
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+
+    def word(self, word: str) -> bytes:
+        """A single word goes to the library's merge model: it is normalised and split already."""
+        plain = word.isascii() and word.isprintable()
+        spelled = word if plain else "".join([self.letters[b] for b in word.encode()])
+        return self.packed([t.id for t in self.tokenizer.model.tokenize(spelled)])
+
+    def part(self, part: str) -> bytes:
+        return b"".join([self.words[w] for w in files.part_words(part)])
+
+    def plain(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def encode(self, text: str) -> bytes:
+        """Packed ids of a text."""
+        if self.cutter is None or "<" not in text or not self.cutter.search(text):
+            return self.plain(text)
+        coded, at = [], 0
+        for m in self.cutter.finditer(text):
+            coded += [self.plain(text[at : m.start()]), self.packed([self.special[m.group()]])]
+            at = m.end()
+        return b"".join([*coded, self.plain(text[at:])])
 
 
 @functools.lru_cache(maxsize=2)
@@ -131,7 +104,7 @@ def write_token_files(docs: DataFrame, path: str, *, end_id: int = 1, folder: st
             if out is None:
                 fs.create_dir(at, recursive=True)
                 out = fs.open_output_stream(f"{at}/{stem}.ids")
-            coded = e.encode(texts_of(batch))
+            coded = [e.encode(t) for t in texts_of(batch)]
             out.write(b"".join([x + end for x in coded]))
             counts.append(np.array([len(x) // e.width + 1 for x in coded], np.uint64))
             ids.append(pa.RecordBatch.from_arrays([batch.column(0)], names=["doc_id"]))
