@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from provatab.cluster import CHUNK, last_before, neighbours, ordinals, running_totals
+from provatab.cluster import CHUNK, checkpointed, last_before, neighbours, ordinals, running_totals
 from provatab.functions import numbers, periods
 from provatab.functions import text as tx
 from provatab.operators.columns import typed_cells
@@ -155,121 +154,122 @@ def propagate_headers(tables: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
 
 # --- fragment merging -------------------------------------------------------------------------
 
-_META = (
-    "document_id string, island long, order_index long, page_number int, header array<string>, first_row array<string>, "
-    "row_count long, section_id string, section_slug string, b_left double, b_right double, "
-    "generic boolean, is_header boolean, is_data boolean, first_is_header boolean, rows_above long"
-)
-_PLAN = "document_id string, order_index long, merged_order long, drop_first boolean, header_as_row boolean, row_offset long, header array<string>"
-
-
-def _merge_island(frame: pd.DataFrame) -> pd.DataFrame:
-    """Walk one run of neighbouring fragments and decide which continue the one before."""
-    out, current = [], None
-    for row in frame.sort_values("order_index").to_dict("records"):
-        keep = {"document_id": row["document_id"], "order_index": row["order_index"], "drop_first": False, "header_as_row": False}
-        joined = None if current is None else _continues(current, row)
-        if joined is None:
-            current = {**row, "lead": row["order_index"], "rows": row["row_count"], "members": []}
-            keep.update(merged_order=row["order_index"], row_offset=0, header=list(row["header"]))
-            current["members"].append(keep)
-        else:
-            header, promote, demote = joined
-            if promote:
-                # The single row of the leader was its header.
-                for member in current["members"]:
-                    member["drop_first"] = True
-                current["rows"] -= 1
-            current.update(header=header, generic=False, first_is_header=False)
-            for member in current["members"]:
-                member["header"] = list(header)
-            keep.update(merged_order=current["lead"], header_as_row=demote, row_offset=current["rows"], header=list(header))
-            current["members"].append(keep)
-            current["rows"] += row["row_count"] + (1 if demote else 0)
-            current["section_id"] = current["section_id"] or row["section_id"]
-            current["section_slug"] = current["section_slug"] or row["section_slug"]
-            current["b_left"] = _extreme(min, current["b_left"], row["b_left"])
-            current["b_right"] = _extreme(max, current["b_right"], row["b_right"])
-        out.append(keep)
-    return pd.DataFrame(out, columns=["document_id", "order_index", "merged_order", "drop_first", "header_as_row", "row_offset", "header"])
-
-
-def _extreme(pick, a, b):
-    known = [v for v in (a, b) if v is not None and v == v]
-    return pick(known) if known else None
-
-
-def _aligned(left, right) -> bool:
-    edges = (left["b_left"], left["b_right"], right["b_left"], right["b_right"])
-    if any(v is None or v != v for v in edges):
-        return True
-    width = min(max(1.0, edges[1] - edges[0]), max(1.0, edges[3] - edges[2]))
-    shared = max(0.0, min(edges[1], edges[3]) - max(edges[0], edges[2])) / width
-    return abs(edges[0] - edges[2]) <= 28.0 and abs(edges[1] - edges[3]) <= 28.0 and shared >= 0.85
-
-
-def _continues(left, right):
-    """(header, leader row was the header, right header is a row) when right continues left."""
-    if not _aligned(left, right):
-        return None
-    known = left["section_id"] and right["section_id"]
-    same_section = not known or left["section_id"] == right["section_id"] or left["section_slug"] == right["section_slug"]
-    if list(left["header"]) == list(right["header"]):
-        return list(left["header"]), False, False
-    if not same_section:
-        return None
-    if left["generic"] and left["rows"] == 1 and left["first_is_header"]:
-        if right["generic"]:
-            return list(left["first_row"]), True, False
-        if right["is_data"]:
-            return list(left["first_row"]), True, True
-    elif left["rows"] == 0 and not left["generic"] and left["is_header"] and right["is_data"]:
-        return list(left["header"]), False, True
-    return None
+# How far edges of one table may drift, and the share of the narrower width both must cover.
+EDGE_DRIFT, SHARED_WIDTH = 28.0, 0.85
 
 
-def merge_plan(tables: DataFrame, sections: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
-    """Which table fragments are one table, and where the rows of each go.
+def _lined_up(low: Column, high: Column, left: Column, right: Column) -> Column:
+    """Edges of a fragment against those of a table; unknown edges always line up."""
+    narrow = F.least(F.greatest(high - low, F.lit(1.0)), F.greatest(right - left, F.lit(1.0)))
+    shared = F.greatest(F.least(high, right) - F.greatest(low, left), F.lit(0.0)) / narrow
+    close = (F.abs(low - left) <= EDGE_DRIFT) & (F.abs(high - right) <= EDGE_DRIFT) & (shared >= SHARED_WIDTH)
+    return F.coalesce(close, F.lit(True))
 
-    Everything that does not depend on earlier merges (page gap, equal width, no heading in
-    between on the page) splits the tables into islands with window scans. Only the rest walks
-    an island in order, over one small record per table; the cells are never grouped.
-    """
-    cleaned = tables.withColumn("header", _clean(F.col("header"))).withColumns(
-        {
-            "order_index": F.col("order_index").cast("long"),
-            "_width": F.size("header"),
-            "generic": columns_are_generic(F.col("header")),
-            "is_header": looks_like_header(F.col("header")),
-            "is_data": header_is_data(F.col("header")),
-            "first_row": _clean(F.col("first_row")),
-            "first_is_header": F.coalesce(looks_like_header(_clean(F.col("first_row"))), F.lit(False)),
-        }
-    )
-    # Latest heading before each table, found in one scan over both.
+
+def _fragment_facts(tables: DataFrame, sections: DataFrame, chunk: int) -> DataFrame:
+    """A record per fragment, with ``cut`` where nothing can join it to the one before: another width, a page
+    missed, or a heading between them on their page."""
+    clean = tables.withColumns({"header": _clean(F.col("header")), "first_row": _clean(F.col("first_row")), "order_index": F.col("order_index").cast("long")})
     heads = sections.select("document_id", F.col("order_index").cast("long").alias("order_index"), "page_number", F.lit(True).alias("_head"))
-    both = cleaned.select("document_id", "order_index", "page_number", F.lit(False).alias("_head")).unionByName(heads)
-    scanned = last_before(
-        both, ["document_id"], "order_index", {"_last_head": F.when(F.col("_head"), F.struct("order_index", "page_number"))}, chunk=chunk
+    both = clean.select("document_id", "order_index", "page_number", F.lit(False).alias("_head")).unionByName(heads)
+    headed = last_before(
+        both, ["document_id"], "order_index", {"_heading": F.when(F.col("_head"), F.struct("order_index", "page_number"))}, chunk=chunk
     ).where("not _head")
-    placed = cleaned.join(scanned.select("document_id", "order_index", "_last_head"), ["document_id", "order_index"])
-    around = neighbours(placed, ["document_id"], "order_index", ["order_index", "page_number", "_width"], prev="_p", chunk=chunk)
-    gap = F.col("page_number") - F.col("_p.page_number")
-    between = (
-        (F.col("_p.page_number") == F.col("page_number"))
-        & (F.col("_last_head.page_number") == F.col("page_number"))
-        & (F.col("_last_head.order_index") > F.col("_p.order_index"))
+    placed = clean.join(headed.select("document_id", "order_index", "_heading"), ["document_id", "order_index"])
+    around = neighbours(placed.withColumn("_width", F.size("header")), ["document_id"], "order_index", ["order_index", "page_number", "_width"], prev="_p", chunk=chunk)
+    step = F.col("page_number") - F.col("_p.page_number")
+    parted = (step == 0) & (F.col("_heading.page_number") == F.col("page_number")) & (F.col("_heading.order_index") > F.col("_p.order_index"))
+    joined = (F.col("_p._width") == F.col("_width")) & F.coalesce(step.between(0, 1), F.lit(True)) & ~F.coalesce(parted, F.lit(False))
+    edges = F.when(F.col("bbox").isNotNull(), F.struct(F.col("bbox.page_number").alias("page"), F.col("bbox.left").alias("low"), F.col("bbox.right").alias("high")))
+    return around.select(
+        "document_id", "order_index", "header", "first_row", F.col("row_count").cast("long").alias("row_count"), edges.alias("edges"),
+        F.when(F.col("section_id").isNotNull(), F.struct("section_id", "section_slug")).alias("section"),
+        columns_are_generic(F.col("header")).alias("generic"), looks_like_header(F.col("header")).alias("is_header"), header_is_data(F.col("header")).alias("is_data"),
+        (~F.coalesce(joined, F.lit(False))).alias("cut"),
+    )
+
+
+def _judged(facts: DataFrame, chunk: int) -> DataFrame:
+    """Each fragment against the table that all fragments of its run before it form.
+
+    ``run`` names the run by its first fragment. Of a run: the header it opens with, the first fragment with another
+    one (the pivot), the rows and the only row before the pivot, the edges known first and the section known first.
+    ``fails`` marks fragments that can't join; what is said behind a failure holds after the run is cut there.
+    """
+    key = ["document_id", "run"]
+    order, rows = F.col("order_index"), F.col("row_count")
+    runs = running_totals(facts, ["document_id"], "order_index", {"run": F.when(F.col("cut"), 1).otherwise(0).cast("long")}, chunk=chunk).select(*facts.columns, "run")
+    known = F.when(F.col("section").isNotNull(), order)
+    opening = runs.groupBy(*key).agg(
+        F.min(order).alias("lead"),
+        F.min_by(F.struct("header", "generic", "is_header"), order).alias("_of_h"),
+        F.min_by(F.struct(order.alias("at"), F.col("edges.page").alias("page")), F.when(F.col("edges").isNotNull(), order)).alias("_base"),
+        F.min_by("section", known).alias("_first_section"),
+        F.min(known).alias("_from"),
     )
-    linked = F.col("_p").isNotNull() & F.coalesce(gap.between(0, 1), F.lit(True)) & ~F.coalesce(between, F.lit(False)) & (F.col("_p._width") == F.col("_width"))
-    islands = running_totals(
-        around, ["document_id"], "order_index", {"island": F.when(linked, 0).otherwise(1).cast("long")}, chunk=chunk
+    opened = runs.join(opening, key).withColumn("_h", F.col("_of_h.header"))
+    # Edges: those known first, widened by the fragments of their page.
+    on_base = F.col("_base").isNotNull() & F.col("edges").isNotNull() & F.col("edges.page").eqNullSafe(F.col("_base.page"))
+    second = opened.groupBy(*key).agg(
+        F.min(F.when(F.col("header") != F.col("_h"), order)).alias("_pivot"),
+        F.min(F.when(on_base, F.col("edges.low"))).alias("_page_low"),
+        F.max(F.when(on_base, F.col("edges.high"))).alias("_page_high"),
     )
-    meta = islands.withColumn("rows_above", F.lit(0).cast("long")).select(
-        "document_id", "island", "order_index", "page_number", "header", "first_row", F.col("row_count").cast("long").alias("row_count"),
-        "section_id", "section_slug", F.col("bbox.left").alias("b_left"), F.col("bbox.right").alias("b_right"),
-        "generic", "is_header", "is_data", "first_is_header", "rows_above",
+    opened = opened.join(second, key)
+    ahead = F.col("_pivot").isNull() | (order < F.col("_pivot"))
+    before = opened.groupBy(*key).agg(
+        F.coalesce(F.sum(F.when(ahead, rows)), F.lit(0)).alias("_rows"),
+        F.min_by("first_row", F.when(ahead & (rows > 0), order)).alias("_only"),
+        F.min_by(F.struct("generic", "is_data", "section"), F.when(order == F.col("_pivot"), order)).alias("_p"),
+    )
+    upto = Window.partitionBy(*key, "_on").orderBy("order_index").rowsBetween(Window.unboundedPreceding, -1)
+    # Those on the page of the first edges are one page's tables; the others are spread by their position.
+    spread = opened.withColumn("_on", F.when(on_base, F.lit(-1).cast("long")).otherwise(F.floor(order / chunk)))
+    near = spread.withColumns({"_low": F.min("edges.low").over(upto), "_high": F.max("edges.high").over(upto)})
+    all_ = near.join(before, key)
+    on_page = F.col("edges.page").eqNullSafe(F.col("_base.page"))
+    low, high = (F.when(on_page, F.col(f"_{n}")).otherwise(F.col(f"_page_{n}")) for n in ("low", "high"))
+    aligned = (order <= F.coalesce(F.col("_base.at"), order)) | F.col("edges").isNull() | _lined_up(low, high, F.col("edges.low"), F.col("edges.high"))
+    same = lambda a, b: a.isNull() | b.isNull() | (a["section_id"] == b["section_id"]) | F.coalesce(a["section_slug"] == b["section_slug"], F.lit(False))
+    left = F.when(F.col("_from") < order, F.col("_first_section"))
+    promoted = F.col("_of_h.generic") & (F.col("_rows") == 1) & F.coalesce(looks_like_header(F.col("_only")), F.lit(False)) & (F.col("_p.generic") | F.col("_p.is_data"))
+    demotes = ~F.col("_p.generic") & F.col("_p.is_data")
+    header_only = (F.col("_rows") == 0) & ~F.col("_of_h.generic") & F.col("_of_h.is_header") & F.col("_p.is_data")
+    at_pivot = F.coalesce(order == F.col("_pivot"), F.lit(False))
+    behind = F.coalesce(order > F.col("_pivot"), F.lit(False))
+    header = F.when(F.coalesce(promoted, F.lit(False)), F.col("_only")).otherwise(F.col("_h"))
+    fits = F.when(at_pivot, F.coalesce((promoted | header_only) & same(left, F.col("section")), F.lit(False))).when(behind, F.col("header") == header).otherwise(True)
+    return all_.select(
+        *facts.columns, "run", "lead", "_pivot", header.alias("merged_header"), (F.col("_pivot").isNotNull() & F.coalesce(promoted, F.lit(False))).alias("promoted"),
+        (at_pivot & demotes).alias("demoted"), (at_pivot | behind).alias("late"), ((order > F.col("lead")) & ~(aligned & fits)).alias("fails"),
+    )
+
+
+def merge_plan(tables: DataFrame, sections: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
+    """Which table fragments are one table, and where the rows of each go.
+
+    A fragment continues the table before it when its edges line up and it has the table's header; a table that is so
+    far only a header (as its single row under generic columns, or as columns without rows) also takes a fragment whose
+    columns are generic or data. Every fragment is judged at once against the run before it; runs are cut at their
+    first failure, and judged again until none fails. Rounds follow the number of failures in one run; each is
+    aggregates and window scans, so a run may be of any length.
+    """
+    facts = checkpointed(_fragment_facts(tables, sections, chunk))
+    while True:
+        judged = checkpointed(_judged(facts, chunk))
+        failed = judged.where("fails").groupBy("document_id", "run").agg(F.min("order_index").alias("order_index")).withColumn("_again", F.lit(True)).drop("run")
+        if failed.isEmpty():
+            break
+        again = facts.join(failed, ["document_id", "order_index"], "left")
+        facts = checkpointed(again.withColumn("cut", F.col("cut") | F.col("_again").isNotNull()).select(*facts.columns))
+    above = F.col("row_count") + F.when(F.col("demoted"), 1).otherwise(0)
+    placed = running_totals(judged, ["document_id", "run"], "order_index", {"_to": above}, chunk=chunk)
+    # A promoted row leaves the rows of the fragments behind it one place higher.
+    offset = F.col("_to") - above - F.when(F.col("promoted") & F.col("late"), 1).otherwise(0)
+    return placed.select(
+        "document_id", "order_index", F.col("lead").alias("merged_order"), (F.col("promoted") & ~F.col("late")).alias("drop_first"),
+        F.col("demoted").alias("header_as_row"), offset.cast("long").alias("row_offset"), F.col("merged_header").alias("header"),
     )
-    return meta.groupBy("document_id", "island").applyInPandas(_merge_island, _PLAN)
 
 
 def merge_fragments(tables: DataFrame, cells: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
