@@ -91,12 +91,27 @@ def json_fields(mappings: DataFrame, artifacts: DataFrame) -> DataFrame:
     return _audit(joined, paths.json_at(F.col("payload"), F.col("caminho_json")))
 
 
+# Escaped signs and classes of a pattern, and brackets that capture (a name may follow).
+_NOT_BRACKETS = r"\\.|\[(?:\\.|[^\]\\])*\]"
+_CAPTURES = r"\((?!\?)|\(\?<(?![=!])"
+
+
+def sound_pattern(pattern: Column, group: Column | None = None) -> Column:
+    """The pattern, or null where it doesn't compile or has fewer groups than ``group``."""
+    tried = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), pattern)
+    if group is None:
+        return F.when(tried.isNotNull(), pattern)
+    captures = F.size(F.regexp_extract_all(F.regexp_replace(pattern, _NOT_BRACKETS, ""), F.lit(_CAPTURES), F.lit(0)))
+    return F.when(tried.isNotNull() & (captures >= F.coalesce(group, F.lit(0))), pattern)
+
+
 def text_blocks(mappings: DataFrame, blocks: DataFrame) -> DataFrame:
     """first block in file order whose text matches the pattern; the match is the value.
 
-    A pattern is read from the mapping, so it is applied per row.
+    A pattern is read from the mapping, so it is applied per row. One that is no pattern finds
+    nothing, and its mapping stays unresolved.
     """
-    wanted = _of(mappings, "bloco_textual").withColumn("_p", F.coalesce("padrao", F.lit(DEFAULT_PATTERN)))
+    wanted = _of(mappings, "bloco_textual").withColumn("_p", sound_pattern(F.coalesce("padrao", F.lit(DEFAULT_PATTERN))))
     asked = wanted.select(*MAPPING, "_p", F.nullif(F.trim("block_id"), F.lit("")).alias("_b"))
     read = blocks.select("document_id", F.col("block_id").alias("_id"), "order_index", "text")
     named = asked.where("_b is not null").join(read.withColumnRenamed("_id", "_b"), ["document_id", "_b"])
@@ -112,10 +127,12 @@ def block_records(fields: DataFrame, blocks: DataFrame) -> DataFrame:
     """records whose fields are captured from named blocks.
 
     ``fields`` has ``document_id, ord, record, path, fixed, block_id, padrao, grupo, tipo``. A
-    field without its block or match is null and the record stays; fixed values come as given.
+    field without its block or match, or whose pattern is none or lacks the group, is null and the
+    record stays; fixed values come as given.
     """
     texts = blocks.select("document_id", "block_id", "text")
     joined = fields.join(texts, ["document_id", "block_id"], "left")
+    joined = joined.withColumn("padrao", sound_pattern(F.col("padrao"), F.col("grupo")))
     got = F.when(F.expr("text rlike padrao"), F.expr("regexp_extract(text, padrao, grupo)"))
     number = numbers.number_of(got).cast("string")
     value = F.when(F.col("fixed").isNotNull(), F.col("fixed")).when(F.col("tipo") == "numero", number).otherwise(got)
