@@ -26,6 +26,9 @@ HEADLINE = (
     "x1_bulletin_tables",
     "x4_export_preflight",
     "d1_sections",
+    "d3_nearest_section",
+    "d8_melted_rows",
+    "d14_typed_values",
 )
 
 

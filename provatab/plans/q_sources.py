@@ -20,13 +20,18 @@ def _shared_folder(spark) -> str:
     return tempfile.mkdtemp(prefix="spark-")
 
 
-@query("s1_json_artifacts", "select page_id, url, length(html) as n from pages")
+@query(
+    "s1_json_artifacts",
+    """select case when s_suppkey % 10 > 1 then s_suppkey end as s_suppkey, case when s_suppkey % 10 > 1 then s_name end as s_name, case s_suppkey % 10 when 0 then 'not_object' when 1 then 'not_json' end as problem from supplier""",
+)
 def _(spark, sf):
-    folder = _shared_folder(spark) + "/pages"
-    v.table(spark, sf, "pages").select("page_id", "url", "html").write.json(folder)
-    # JSON lines are also a valid strict scan when each line is one object.
-    rows = spark.read.schema("page_id bigint, url string, html string").option("mode", "FAILFAST").json(folder)
-    return rows.select("page_id", "url", F.length("html").cast("bigint").alias("n"))
+    folder = _shared_folder(spark) + "/suppliers"
+    key = F.col("s_suppkey") % 10
+    own = F.to_json(F.struct("s_suppkey", "s_name"))
+    # A file per supplier; some hold a list, some no JSON.
+    value = F.when(key == 0, F.concat(F.lit("["), own, F.lit("]"))).when(key == 1, F.concat(own, F.lit(" and more"))).otherwise(F.concat(F.lit("\n\t"), own))
+    v.table(spark, sf, "supplier").select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return readers.read_artifacts(spark, folder, "s_suppkey bigint, s_name string").drop("source_key")
 
 
 @query(
@@ -44,15 +49,19 @@ def _(spark, sf):
     return readers.read_jsonl(spark, folder, "event_id bigint, event_type string, size bigint").drop("source_key")
 
 
-@query("s3_strict_lists", "select conv_id, turn, role from conversations")
+@query(
+    "s3_strict_lists",
+    """select case when s_nationkey % 5 > 0 then s_suppkey end as s_suppkey, case when s_nationkey % 5 = 0 then 'not_list' end as problem from supplier where s_nationkey % 5 > 0
+ union all select null, 'not_list' from (select distinct s_nationkey from supplier where s_nationkey % 5 = 0)
+ union all select null, 'not_object' from (select distinct s_nationkey from supplier where s_nationkey % 5 > 0)""",
+)
 def _(spark, sf):
     folder = _shared_folder(spark) + "/lists"
-    c = v.table(spark, sf, "conversations")
-    # One list of objects per line and conversation; a conversation is a handful of turns.
-    lists = c.groupBy("conv_id").agg(F.to_json(F.collect_list(F.struct("conv_id", "turn", "role"))).alias("value"))
-    lists.select("value").write.text(folder)
-    schema = "conv_id bigint, turn bigint, role string"
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(folder)
+    # A file per nation (a nation's suppliers make one artefact), with a stray number in its list; some hold an object.
+    rows = v.table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.to_json(F.collect_list(F.struct("s_suppkey"))).alias("all"))
+    value = F.when(F.col("s_nationkey") % 5 == 0, F.concat(F.lit('{"all": '), "all", F.lit("}"))).otherwise(F.concat(F.lit("[7, "), F.expr("substring(all, 2)")))
+    rows.select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return readers.read_artifacts(spark, folder, "s_suppkey bigint", shape="list").drop("source_key")
 
 
 _KEYS = """keys as (select 'fallback/' || o_orderpriority || '/e' || o_custkey || '/document_id=' || o_orderkey || '/execution_id=x' || (o_orderkey % 3) || '/' || f as object_key,
@@ -129,6 +138,37 @@ def _(spark, sf):
     return out.groupBy("metric", F.col("company").cast("int").alias("company")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("s10_flat_tables", "select o_orderkey, o_orderstatus, o_totalprice, c_mktsegment from orders left join customer on o_custkey = c_custkey")
+def _(spark, sf):
+    folder = _shared_folder(spark)
+    o = v.table(spark, sf, "orders")
+    flat = {
+        "runs": o.select("o_orderkey", "o_orderstatus", "o_custkey"),
+        "amounts": o.select("o_orderkey", "o_totalprice"),
+        "holders": v.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"),
+    }
+    writers.write_tables(flat, folder)
+    back = {name: spark.read.parquet(f"{folder}/{name}") for name in flat}
+    return back["runs"].join(back["amounts"], "o_orderkey").join(back["holders"], "o_custkey", "left").drop("o_custkey")
+
+
+@query(
+    "s12_persisted_bundle",
+    """select cast(c_custkey as varchar) as document_id, 'profiles' as collection, count(*) as record_count, count(*) as n_stored from customer group by 1
+ union all select cast(o_custkey as varchar), 'orders', count(*), count(*) from orders group by 1""",
+)
+def _(spark, sf):
+    folder = _shared_folder(spark)
+    bundle = {
+        "profiles": v.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("document_id"), "c_name"),
+        "orders": v.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("document_id"), "o_orderkey", "o_totalprice"),
+    }
+    writers.persist_bundle(bundle, folder)
+    stored = [spark.read.parquet(f"{folder}/{n}").groupBy("document_id").agg(F.count(F.lit(1)).alias("n_stored")).withColumn("collection", F.lit(n)) for n in bundle]
+    stats = spark.read.parquet(f"{folder}/collection_stats").drop("fields")
+    return stats.join(stored[0].unionByName(stored[1]), ["document_id", "collection"])
+
+
 @query(
     "s11_published_runs",
     """select o_orderstatus as entity, case when o_orderkey % 2 = 0 then 'x' else 'y' end as execution_id, count(*) as n_validation, count(*) as n_resolved, count(*) as n_audit from orders group by 1, 2""",

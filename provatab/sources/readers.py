@@ -12,19 +12,34 @@ CALL_KINDS = ("entrada_llm", "resposta_llm", "erro_llm")
 RUN_KEY = "^fallback/([^/]+)/([^/]+)/document_id=([^/]+)/execution_id=([^/]+)/(.*)$"
 
 
-def read_artifacts(spark: SparkSession, glob: str, schema: str, *, strict: bool = True) -> DataFrame:
-    """One JSON value per file (or a list of objects); ``strict`` fails on anything else.
+def _variant_fields(value: str, fields) -> list[Column]:
+    """Fields of a variant by name; one of another type is cast if it can be and null if not."""
+    quoted = [(f, f.name.replace("\\", "\\\\").replace("'", "\\'")) for f in fields]
+    return [F.try_variant_get(value, f"$['{name}']", f.dataType.simpleString()).alias(f.name) for f, name in quoted]
+
 
-    ``source_key`` holds the file the row came from.
+def read_artifacts(spark: SparkSession, glob: str, schema: str, *, shape: str = "object") -> DataFrame:
+    """S1 (``object``) and S3 (``list`` of objects): one JSON value per file, of that shape only.
+
+    Rows have the fields, ``source_key`` (the file) and ``problem``: null, or why the file or a
+    member of its list was not taken (``not_json``, ``not_object``, ``not_list``). A bad file gives
+    one problem row and stops no other.
     """
-    mode = "FAILFAST" if strict else "DROPMALFORMED"
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("mode", mode)
-        .json(glob)
-        .withColumn("source_key", F.col("_metadata.file_path"))
-    )
+    fields = spark.createDataFrame([], schema).schema.fields
+    files = spark.read.text(glob, wholetext=True).select("value", F.col("_metadata.file_path").alias("source_key"))
+    # The JSON parser takes the first value and leaves what stands behind it, so the end is looked at too.
+    opens, ends = {"object": (r"^\s*\{", r"\}\s*$"), "list": (r"^\s*\[", r"\]\s*$")}[shape]
+    parsed = files.select("source_key", F.try_parse_json("value").alias("_v"), F.col("value").rlike(opens).alias("_ok"), F.col("value").rlike(ends).alias("_ended"))
+    whole = F.when(F.col("_v").isNull(), "not_json").when(~F.col("_ok"), f"not_{shape}").when(~F.col("_ended"), "not_json")
+    if shape == "list":
+        members = F.when(whole.isNull(), F.try_variant_get("_v", "$", "array<variant>"))
+        parsed = parsed.select("source_key", whole.alias("_whole"), F.explode_outer(members).alias("_v")).where("_v is not null or _whole is not null")
+        object_ = F.to_json("_v").rlike(r"^\{")
+        problem = F.coalesce(F.col("_whole"), F.when(~object_, "not_object"))
+    else:
+        problem = whole
+    told = parsed.withColumn("problem", problem).withColumn("_v", F.when(F.col("problem").isNull(), F.col("_v")))
+    return told.select(*_variant_fields("_v", fields), "source_key", "problem")
 
 
 def read_jsonl(spark: SparkSession, glob: str, schema: str) -> DataFrame:
@@ -40,10 +55,8 @@ def read_jsonl(spark: SparkSession, glob: str, schema: str) -> DataFrame:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema).withColumn("source_key", F.lit(None).cast("string"))
-    parsed = lines.where(F.col("value").rlike(r"^\s*\{")).select(F.try_parse_json("value").alias("_v"), "source_key")
-    quoted = [(f, f.name.replace("\\", "\\\\").replace("'", "\\'")) for f in fields]
-    picked = [F.try_variant_get("_v", f"$['{name}']", f.dataType.simpleString()).alias(f.name) for f, name in quoted]
-    return parsed.where(F.col("_v").isNotNull()).select(*picked, "source_key")
+    parsed = lines.where(F.col("value").rlike(r"^\s*\{") & F.col("value").rlike(r"\}\s*$")).select(F.try_parse_json("value").alias("_v"), "source_key")
+    return parsed.where(F.col("_v").isNotNull()).select(*_variant_fields("_v", fields), "source_key")
 
 
 def key_part(key: Column, field: str) -> Column:
