@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,6 +34,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, besides what their own path names."""
+    root = str(pathlib.Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, lineage cut, safe against lost executors."""
     spark = df.sparkSession

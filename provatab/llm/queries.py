@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from provatab.llm import bpe, decontamination, line_dedup, neighbours, quality, simhash, token_counts, token_files, toxicity, warc
+from provatab.llm.common import importable
 from provatab.llm.tokenizer_files import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +17,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql.strip()
         return fn
