@@ -21,6 +21,7 @@ from provatab.operators.contract import CONTRACT
 
 MAPPING = ["document_id", "ord"]
 TABLE = ["document_id", "table_id"]
+# Pattern of a quarter, and the kinds of origin a mapping may name.
 DEFAULT_PATTERN = "[1-4]T[0-9]{2}"
 KINDS = (
     "valor_fixo",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,17 +119,15 @@ def version_of(key: Column) -> Column:
 
 
 def highest_version(df: DataFrame, identity: Sequence[str], key: str, *, unique: bool = True) -> DataFrame:
-    """P10: row with the highest version per identity. ``unique`` fails when two rows share it."""
+    """P10: row with the highest version per identity. With ``unique`` an identity whose highest version several rows
+    share has a null key and says so in ``problem``; it stops no other."""
     versioned = df.withColumn("version", version_of(F.col(key))).where(F.col("version").isNotNull())
     top = versioned.groupBy(*identity).agg(F.max("version").alias("version"))
     chosen = versioned.join(top, [*identity, "version"]).groupBy(*identity, "version").agg(
         F.min(key).alias(key), F.count(F.lit(1)).alias("_n")
     )
     if unique:
-        guard = F.when(F.col("_n") == 1, F.col(key)).otherwise(
-            F.raise_error(F.concat(F.lit("more than one object for the highest version: "), F.col(key)))
-        )
-        chosen = chosen.withColumn(key, guard)
+        chosen = chosen.withColumns({key: F.when(F.col("_n") == 1, F.col(key)), "problem": F.when(F.col("_n") > 1, "ambiguous_version")})
     return chosen.drop("_n")
 
 
@@ -183,9 +182,10 @@ def in_window(docs: DataFrame, day: Column, *, text: str, quarter: str, year: st
     return staged.where(named | stated | dated).select(*docs.columns)
 
 
-def looks_like_pdf(url: Column, mime: Column) -> Column:
+def looks_like_pdf(url: Column, mime: Column, also: Sequence[str] = ()) -> Column:
+    """A PDF by extension or type, or by any of the address parts ``also``, for servers that show neither."""
     shown = normalize_text(F.concat_ws(" ", url, mime))
-    return shown.contains(".pdf") | shown.contains("application/pdf") | shown.contains("mzfilemanager")
+    return reduce(lambda found, part: found | shown.contains(part), also, shown.contains(".pdf") | shown.contains("application/pdf"))
 
 
 def matches_keywords(text: Column, keywords: Sequence[str]) -> Column:

@@ -20,3 +20,11 @@ def test_one_bad_pattern_does_not_stop_the_others(spark):
     blocks = spark.createDataFrame([("d", "b1", "n 42")], "document_id string, block_id string, text string")
     got = {r.path: r.value for r in resolve.block_records(fields, blocks).collect()}
     assert got == {"a": None, "b": "42", "c": None}
+
+
+def test_an_ambiguous_version_is_a_problem_of_its_own_identity(spark):
+    from provatab.operators import selection
+
+    rows = [("a", "c/v1.2.0/x.json"), ("a", "c/v1.10.0/x.json"), ("b", "c/v2.0.0/x.json"), ("b", "c/v2.0.0/y.json")]
+    found = selection.highest_version(spark.createDataFrame(rows, "domain string, object_key string"), ["domain"], "object_key")
+    assert {r.domain: (r.object_key, r.problem) for r in found.collect()} == {"a": ("c/v1.10.0/x.json", None), "b": (None, "ambiguous_version")}
