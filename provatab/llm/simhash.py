@@ -181,7 +181,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 4, distance: int = 4) -> Da
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
     rooted = written(rooted, "simhash-roots")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     classes = rooted.join(least, "root").select("fingerprint", "root", "component_id")
     return prints.join(classes, "fingerprint").select("doc_id", "_text_key", "fingerprint", "root", "component_id")
 
@@ -198,7 +198,8 @@ def keep_one(docs: DataFrame, *, width: int = 4, distance: int = 4) -> DataFrame
     found = written(near_duplicates(docs, width=width, distance=distance), "simhash-classes")
     rows = found.groupBy("root", "doc_id", "_text_key").agg(F.count(F.lit(1)).alias("n"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_text_key")
-    heads = found.groupBy("root").agg(F.min(order).alias("head"))
+    # Written, so that the join below reads two plain shuffles and a large component can be split.
+    heads = written(found.groupBy("root").agg(F.min(order).alias("head")), "simhash-heads")
     marked = rows.join(heads, "root").withColumn("stays", order == F.col("head"))
     keys = [F.col("doc_id").alias("__id"), F.col("_text_key").alias("__key")]
     # Rows that go, and rows that stay of which there are several.
