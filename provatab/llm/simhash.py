@@ -193,9 +193,14 @@ def component_rows(docs: DataFrame, *, width: int = 4, distance: int = 4) -> Dat
 
 
 def keep_one(docs: DataFrame, *, width: int = 4, distance: int = 4) -> DataFrame:
-    """``docs`` with one row of each component: the one of the smallest id (rows without one come last), of equal ids
-    the one whose text hashes smallest, of equal rows any one."""
-    found = written(near_duplicates(docs, width=width, distance=distance), "simhash-classes")
+    """``docs`` with one row of each component."""
+    return keep_heads(docs, near_duplicates(docs, width=width, distance=distance))
+
+
+def keep_heads(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with one row of each ``root`` of ``found``: the one of the smallest id (rows without one come last), of
+    equal ids the one whose text hashes smallest, of equal rows any one."""
+    found = written(found, "copies-classes")
     rows = found.groupBy("root", "doc_id", "_text_key").agg(F.count(F.lit(1)).alias("n"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_text_key")
     # Written, so that the join below reads two plain shuffles and a large component can be split.
