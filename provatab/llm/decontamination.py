@@ -1,10 +1,10 @@
-"""Benchmark items inside documents by size-partitioned MinHash containment search (operator 7).
+"""Benchmark items inside documents by prefix-filter sketches (operator 7).
 
-Only DataFrame functions. Items are put into classes by the size of their shingle set. The MinHash sketch of an item
-with m shingles holds its k = m - ceil(threshold * m) + 1 smallest shingle hashes: a document that contains at least
-``threshold`` of the m shingles can miss k - 1 of them at most, so it has a hash of the sketch, whatever its own
-size. (Sketches of one fixed length, as for sets of similar size, lose short items in long documents.) Documents too
-small for every item of a class do not meet that class. Documents that meet an item are verified on exact shingles.
+Only DataFrame functions. Each item has a sketch by its own size, which replaces partitions by size: ``class`` is only
+reported and no join uses it. The sketch of an item with m shingles holds its k = m - ceil(threshold * m) + 1 smallest
+shingle hashes: a document that contains at least ``threshold`` of the m shingles can miss k - 1 of them at most, so it has a hash of the sketch, whatever its own
+size. (Sketches of one fixed length, as for sets of similar size, lose short items in long documents.) A document too
+small for an item isn't paired with it. Documents that meet an item are verified on exact shingles.
 """
 
 from __future__ import annotations
