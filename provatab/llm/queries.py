@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provatab.llm import bpe, decontamination, line_dedup, neighbours, quality, simhash, token_counts, token_files, toxicity, warc
+from provatab.llm import bpe, decontamination, line_dedup, neighbours, quality, simhash, token_counts, token_files, toxicity, warc, whitening
 from provatab.llm.common import importable
 from provatab.llm.tokenizer_files import default_path
 
@@ -81,3 +81,8 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_toxicity_scores")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"), folds=5, fold=0)
+
+
+@query("op11_whitened_embeddings")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.component_rows(table(spark, sf, "embeddings"), components=8)
