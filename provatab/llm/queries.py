@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provatab.llm import bpe, decontamination, line_dedup, neighbours, quality, simhash, token_counts, token_files, toxicity, warc, whitening
+from provatab.llm import bpe, decontamination, line_dedup, neighbours, periodic, quality, simhash, token_counts, token_files, toxicity, warc, whitening
 from provatab.llm.common import importable
 from provatab.llm.tokenizer_files import default_path
 
@@ -86,3 +86,8 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 @query("op11_whitened_embeddings")
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.component_rows(table(spark, sf, "embeddings"), components=8)
+
+
+@query("op12_periodic_runs", periodic.SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic.run_digests(table(spark, sf, "documents"))
