@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provatab.llm import bpe, decontamination, line_dedup, neighbours, periodic, quality, simhash, token_counts, token_files, toxicity, warc, whitening
+from provatab.llm import bpe, decontamination, line_dedup, neighbours, periodic, quality, repeats, simhash, token_counts, token_files, toxicity, warc, whitening
 from provatab.llm.common import importable
 from provatab.llm.tokenizer_files import default_path
 
@@ -91,3 +91,8 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_periodic_runs", periodic.SQL)
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return periodic.run_digests(table(spark, sf, "documents"))
+
+
+@query("op13_repeated_strings")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf, "documents"), length=200)
