@@ -5,7 +5,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from provatab.operators import assemble as asm
 from provatab.operators import resolve as rs
+from provatab.operators.contract import contract_nodes
 from provatab.plans import views as v
 from provatab.plans.registry import query
 
@@ -274,6 +276,56 @@ def _(spark, sf):
     return out.select("document_id", "array_path", "item", F.cardinality("fields").cast("bigint").alias("n_fields"), F.try_element_at("fields", F.lit("valor")).alias("valor"), F.try_element_at("fields", F.lit("periodo")).alias("periodo"))
 
 
+_ORDER_CONTRACT = """{"schema_saida": {"cliente": "string", "fonte": {"moeda": "BRL", "nota": "string | null", "sistema": {"nome": "string"}}, "pedidos": [
+ {"id": "string", "estado": "string", "total": "number | null", "chave": "string", "linhas": [{"n": "string", "qtd": "number", "modo": "string | null", "unidade": "pecas"}]}]}}"""
+
+
+def order_mappings(spark, sf):
+    """Per customer: fields of its orders and their lines, orders named by id, by status and by a field they hold."""
+    orders = v.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("document_id"), "o_orderkey", "o_orderstatus", F.floor(F.col("o_totalprice")).cast("bigint").cast("string").alias("total"))
+    item = F.concat(F.lit("pedidos[id="), F.col("o_orderkey").cast("string"), F.lit("]"))
+    held = F.concat(F.lit("pedidos[chave=k"), F.col("o_orderkey").cast("string"), F.lit("]"))
+    lines = v.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint").cast("string").alias("qtd"), "l_returnflag")
+    lines = lines.groupBy("l_orderkey", "l_linenumber").agg(F.min("qtd").alias("qtd"), F.min("l_returnflag").alias("l_returnflag"))
+    lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    line = F.concat(F.when(F.col("l_linenumber") % 2 == 0, held).otherwise(item), F.lit(".linhas[n="), F.col("l_linenumber").cast("string"), F.lit("]"))
+    at, seq = F.col("o_orderkey") * 100, F.col("l_linenumber") * 3
+
+    def rows(df, ord_, path, value, keep=F.lit(True)):
+        return df.where(keep).select("document_id", ord_.cast("bigint").alias("ord"), path.alias("mapping_path"), value.alias("valor_resolvido"))
+
+    docs = orders.select("document_id").distinct()
+    parts = [
+        rows(docs, F.lit(1), F.lit("cliente"), F.concat(F.lit('c "'), F.col("document_id"), F.lit('"'))),
+        rows(docs, F.lit(2), F.lit("fonte.sistema.nome"), F.lit("erp"), F.col("document_id").cast("bigint") % 3 == 0),
+        rows(docs, F.lit(3), F.lit("fora.do.contrato"), F.lit("x")),
+        rows(orders, at, F.concat(item, F.lit(".total")), F.lit("0")),
+        rows(orders, at + 1, F.concat(item, F.lit(".total")), F.col("total")),
+        rows(orders, at + 2, F.concat(item, F.lit(".chave")), F.concat(F.lit("k"), F.col("o_orderkey").cast("string"))),
+        rows(orders, at + 3, F.concat(held, F.lit(".estado")), F.col("o_orderstatus")),
+        rows(orders, at + 90, held, F.concat(F.lit('{"extra": {"par": true}, "estado": "'), F.col("o_orderstatus"), F.lit('*"}')), F.col("o_orderkey") % 2 == 0),
+        rows(lines, at + 10 + seq, F.concat(line, F.lit(".qtd")), F.col("qtd")),
+        rows(lines, at + 11 + seq, F.concat(line, F.lit(".modo")), F.col("l_returnflag"), F.col("l_returnflag") != "A"),
+    ]
+    return reduce(DataFrame.unionByName, parts).withColumn("status_resolucao", F.lit("resolvido")), docs
+
+
+@query(
+    "f15_nested_rows",
+    """with o as (select cast(o_custkey as varchar) as document_id, o_orderkey as k, o_orderstatus as s, cast(floor(o_totalprice) as bigint) as total from orders),
+ l as (select l_orderkey as k, l_linenumber as n, min(cast(cast(l_quantity as bigint) as varchar)) as qtd, min(l_returnflag) as modo from lineitem group by 1, 2),
+ linhas as (select k, string_agg('{"modo":' || case when modo = 'A' then 'null' else '"' || modo || '"' end || ',"n":"' || n || '","qtd":' || qtd || ',"unidade":"pecas"}', ',' order by n) as t from l group by 1),
+ pedidos as (select document_id, string_agg('{"chave":"k' || k || '","estado":"' || s || case when k % 2 = 0 then '*' else '' end || '"' || case when k % 2 = 0 then ',"extra":{"par":true}' else '' end
+  || ',"id":"' || k || '","linhas":[' || coalesce(t, '') || '],"total":' || total || '}', ',' order by k) as t from o left join linhas using (k) group by 1)
+ select document_id, '{"cliente":"c \\"' || document_id || '\\"","fonte":{"moeda":"BRL","nota":null,"sistema":{"nome":' || case when cast(document_id as bigint) % 3 = 0 then '"erp"' else 'null' end || '}},"pedidos":[' || t || ']}' as output from pedidos""",
+)
+def _(spark, sf):
+    audit, docs = order_mappings(spark, sf)
+    contracts = spark.createDataFrame([("pedidos", "v1.0.0", _ORDER_CONTRACT)], "domain string, version string, contract string")
+    docs = docs.withColumns({"domain": F.lit("pedidos"), "version": F.lit("v1.0.0")})
+    return asm.nested_rows(audit, docs, contract_nodes(contracts))
+
+
 @query(
     "f16_run_summary",
     f"{PERIOD}, {_ASKED} select a.document_id, count(c.cents) as resolved, count(*) - count(c.cents) as failed from asked a left join cells c using (document_id, table_id, row_index, column_index) group by 1",
