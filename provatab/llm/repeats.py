@@ -12,6 +12,7 @@ what all windows of a piece have in common then decides on the shard too. The la
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ SPREAD, MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 UNSPREAD = pow(SPREAD, -1, 1 << 64)
 
 
+@functools.lru_cache(maxsize=4)
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
@@ -49,8 +51,9 @@ def _anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np
     # Hash of a gram: its values times powers of an odd number, as a difference of running sums, mixed.
     spread = (np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(MIX)
     spread = (spread ^ (spread >> np.uint64(31))) * np.uint64(SPREAD)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(spread[codes] * _powers(SPREAD, n))])
-    h = (sums[gram:] - sums[:-gram]) * _powers(UNSPREAD, n - gram + 1)
+    wide = 1 << (n - 1).bit_length()  # powers are kept for a few sizes
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(spread[codes] * _powers(SPREAD, wide)[:n])])
+    h = (sums[gram:] - sums[:-gram]) * _powers(UNSPREAD, wide)[: n - gram + 1]
     h = (h ^ (h >> np.uint64(31))) * np.uint64(MIX)
     h ^= h >> np.uint64(29)
     # Least hash of each window, the leftmost of equal ones, by doubling the reach of the minimum.
@@ -163,7 +166,7 @@ def recurring(segs: list[bytes], many: list[bool], length: int) -> list[list[int
     ends = np.cumsum(sizes + 1) - 1
     t = np.frombuffer(b"\0".join([*segs, b""]), np.uint8).astype(np.int64) + m
     t[ends] = np.arange(m - 1, -1, -1)
-    lengths, before = common_prefixes(t, suffix_array(t, m))
+    lengths, before = common_prefixes(t, suffix_array(t))
     again = lengths >= length
     again[before[again]] = True
     starts = ends - sizes
@@ -270,17 +273,27 @@ def without_repeats(docs: DataFrame, *, length: int = 200, gram: int = GRAM, sha
 
 
 def _by_row(docs: DataFrame, found: DataFrame, length: int, whole: Column, nothing: Column, name: str) -> DataFrame:
+    """``found`` (a row per text with spans) and whole removal of texts that several rows have, row by row."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), *keys(F.col("text")), whole.alias("_whole"))
-    copies = rows.where(F.col("n_bytes") >= length).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    rows = rows.join(copies, ["k1", "k2"], "left").join(found, ["k1", "k2"], "left")
-    gone = F.col("copies").isNotNull()
-    return rows.select(
+    copies = rows.where(F.col("n_bytes") >= length).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"), F.max("n_bytes").alias("_all")).where("copies > 1")
+    told = found.join(copies.drop("copies"), ["k1", "k2"], "full")
+    gone = F.col("_all").isNotNull()
+    told = told.select(
+        "k1",
+        "k2",
+        F.coalesce("_all", "n_removed").alias("n_removed"),
+        F.when(gone, 1).otherwise(F.col("n_spans")).alias("n_spans"),
+        F.when(gone, nothing).otherwise(F.col(name)).alias(name),
+    )
+    # Written, so that the join reads two plain shuffles and the rows of a text with many copies can be split.
+    told = broadcast_if_small(written(told, "repeat-told"))
+    return rows.join(told, ["k1", "k2"], "left").select(
         "doc_id",
         "n_bytes",
-        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(gone, nothing).otherwise(F.coalesce(F.col(name), F.col("_whole"))).alias(name),
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce(F.col(name), F.col("_whole")).alias(name),
     )
 
 
@@ -288,5 +301,5 @@ def repeat_digests(docs: DataFrame, *, length: int = 200, gram: int = GRAM, shar
     """Per row: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` (see :func:`without_repeats`)."""
     found = repeated_spans(docs, length=length, gram=gram, shard_bytes=shard_bytes)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
-    found = written(found.select("k1", "k2", removed.alias("n_removed"), F.size("spans").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")), "repeat-digests")
+    found = found.select("k1", "k2", removed.alias("n_removed"), F.size("spans").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
     return _by_row(docs, found, length, F.sha2("text", 256), F.sha2(F.lit(""), 256), "kept_sha256")

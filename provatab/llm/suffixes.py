@@ -17,67 +17,61 @@ def _smaller(t: np.ndarray) -> np.ndarray:
     return np.append(np.append(step, -1)[decided] > 0, True)
 
 
-def suffix_array(t: np.ndarray, separators: int) -> np.ndarray:
-    """Start places of the suffixes of ``t`` in order. Values below ``separators`` stand once each, the last one is 0.
+def _chained(places: np.ndarray, reach: np.ndarray, keys: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """``places`` in order of their keys up to and at the one ``reach`` away, where a chain ends, and of its rank.
+
+    Sorted from the far ends of the chains: a pass per distance takes in the chains that end there.
+    """
+    ends = places + reach
+    by_rank = places[np.argsort(rank[ends], kind="stable")]
+    far = np.zeros(len(keys), np.int64)
+    far[places] = reach
+    groups = by_rank[np.argsort(-far[by_rank], kind="stable")]
+    cuts = np.searchsorted(-far[groups], np.arange(-int(reach.max(initial=0)), 1))
+    cuts = np.append(cuts, len(groups))
+    out = groups[:0]
+    for k, distance in enumerate(range(int(reach.max(initial=0)), -1, -1)):
+        out = np.concatenate([out, groups[cuts[k] : cuts[k + 1]]])
+        out = out[np.argsort(keys[out + distance], kind="stable")]
+    return out
+
+
+def suffix_array(t: np.ndarray) -> np.ndarray:
+    """Start places of the suffixes of ``t`` in order. The last value is 0 and stands once.
 
     Suffixes are classed as smaller or larger than their successor. The leftmost smaller ones are sorted first, by
-    their substrings and, where those repeat, by the suffix array of their names; the others follow from them in a
-    pass over the buckets of first values upwards (larger suffixes) and one downwards (smaller ones). All suffixes of
-    a bucket that are known by then are passed on together.
+    their substrings and, where those repeat, by the suffix array of their names, in the same way. The larger suffixes
+    follow from them, each through the chain of larger ones up to a leftmost smaller one, and then the smaller
+    suffixes, through the chains up to a larger one.
     """
     n = len(t)
+    if n == 1:
+        return np.zeros(1, np.int64)
     small = _smaller(t)
     leftmost = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    key = np.where(t < separators, 0, t - separators + 1)
-    size = int(key.max()) + 1
-    ends = np.cumsum(np.bincount(key, minlength=size))
-    starts = np.concatenate([[0], ends[:-1]])
-    larger = np.bincount(key[~small], minlength=size)
-    fixed = np.flatnonzero(t < separators)
-    fixed = fixed[np.argsort(t[fixed])]
-    narrow = key.astype(np.uint8 if size <= 256 else np.uint16)
-
-    def place(out: np.ndarray, wave: np.ndarray, kind: np.ndarray, to: np.ndarray, way: int) -> None:
-        before = wave[wave > 0] - 1
-        before = before[kind[before]]
-        if not len(before):
-            return
-        keys = narrow[before]
-        order = np.argsort(keys, kind="stable")
-        keys = key[before[order]]
-        counts = np.bincount(keys, minlength=size)
-        rank = np.arange(len(keys)) - (np.cumsum(counts) - counts)[keys]
-        out[to[keys] + way * rank - (way < 0)] = before[order]
-        to += way * counts
-
-    def induced(first: np.ndarray) -> np.ndarray:
+    keys = 2 * t + small
+    if keys.max() < 1 << 16:
+        keys = keys.astype(np.uint16)
+    places = np.arange(n)
+    next_small = np.minimum.accumulate(np.where(small, places, n)[::-1])[::-1]
+    next_large = np.minimum.accumulate(np.where(small, n, places)[::-1])[::-1]
+    large_places = np.flatnonzero(~small)
+    small_places = np.flatnonzero(small)[:-1]
+    small_places = small_places[next_large[small_places] < n]
+
+    def induced(order: np.ndarray) -> np.ndarray:
         """All suffixes in order, from the leftmost smaller ones in order."""
-        out = np.full(n, -1, np.int64)
-        cuts = np.searchsorted(key[first], np.arange(size + 1))
-        heads = starts.copy()
-        kind = ~small
-        for c in range(size):
-            done = starts[c]
-            while done < heads[c]:
-                wave, done = out[done : heads[c]], heads[c]
-                place(out, wave, kind, heads, 1)
-            place(out, first[cuts[c] : cuts[c + 1]], kind, heads, 1)
-        tails = ends.copy()
-        kind = small & (key > 0)
-        for c in range(size - 1, 0, -1):
-            done = ends[c]
-            while tails[c] < done:
-                wave, done = out[tails[c] : done][::-1], tails[c]
-                place(out, wave, kind, tails, -1)
-            place(out, out[starts[c] : starts[c] + larger[c]][::-1], kind, tails, -1)
-        out[: len(fixed)] = fixed
-        return out
-
-    rough = leftmost[np.argsort(narrow[leftmost], kind="stable")]
-    rough[: len(fixed)] = fixed
+        rank = np.zeros(n, np.int64)
+        rank[order] = np.arange(len(order))
+        large = _chained(large_places, next_small[large_places] - large_places, keys, rank)
+        rank[large] = np.arange(len(large))
+        smaller = _chained(small_places, next_large[small_places] - small_places, keys, rank)
+        both = np.concatenate([places[-1:], large, smaller])
+        return both[np.argsort(keys[both], kind="stable")]
+
     is_left = np.zeros(n, bool)
     is_left[leftmost] = True
-    ordered = induced(rough)
+    ordered = induced(leftmost)
     ordered = ordered[is_left[ordered]]
     lengths = np.zeros(n, np.int64)
     lengths[leftmost] = np.append(np.diff(leftmost), 0)
@@ -93,61 +87,10 @@ def suffix_array(t: np.ndarray, separators: int) -> np.ndarray:
     if equal.any():
         names = np.empty(n, np.int64)
         names[ordered] = np.concatenate([[0], np.cumsum(~equal)])
-        ordered = leftmost[np.array(_named_order(names[leftmost].tolist()), np.int64)]
+        ordered = leftmost[suffix_array(names[leftmost])]
     return induced(ordered)
 
 
-def _named_order(s: list[int]) -> list[int]:
-    """Suffix array of a sequence of names 0, 1, ... whose last is 0 and stands once: the same steps, name by name."""
-    n, size = len(s), max(s) + 1
-    if size == n:
-        out = [0] * n
-        for i, c in enumerate(s):
-            out[c] = i
-        return out
-    small = bytearray(n)
-    small[-1] = 1
-    for i in range(n - 2, -1, -1):
-        small[i] = s[i] < s[i + 1] or (s[i] == s[i + 1] and small[i + 1])
-    leftmost = [i for i in range(1, n) if small[i] and not small[i - 1]]
-    counts = np.bincount(s, minlength=size)
-    ends = np.cumsum(counts)
-    starts = (ends - counts).tolist()
-    ends = ends.tolist()
-
-    def induced(first: list[int]) -> list[int]:
-        out = [-1] * n
-        tails = ends.copy()
-        for i in reversed(first):
-            tails[s[i]] -= 1
-            out[tails[s[i]]] = i
-        heads = starts.copy()
-        for i in out:
-            if i > 0 and not small[i - 1]:
-                c = s[i - 1]
-                out[heads[c]] = i - 1
-                heads[c] += 1
-        tails = ends.copy()
-        for at in range(n - 1, -1, -1):
-            i = out[at]
-            if i > 0 and small[i - 1]:
-                c = s[i - 1]
-                tails[c] -= 1
-                out[tails[c]] = i - 1
-        return out
-
-    end = dict(zip(leftmost, [*leftmost[1:], n - 1]))
-    names, name, last = [-1] * n, -1, None
-    for i in induced(leftmost):
-        if i in end:
-            own = s[i : end[i] + 1]
-            if own != last:
-                name, last = name + 1, own
-            names[i] = name
-    reduced = [names[i] for i in leftmost]
-    return induced([leftmost[k] for k in _named_order(reduced)])
-
-
 def common_prefixes(t: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(lengths, before)`` in text order: of each suffix, the suffix just before it in ``order`` (-1: none) and the
     length of their common prefix.

@@ -35,7 +35,7 @@ def test_suffix_arrays_against_sorting():
         parts = [rng.integers(0, rng.integers(1, 4), rng.integers(1, 12)) for _ in range(rng.integers(1, 6))]
         m = len(parts)
         t = np.concatenate([np.append(p + m, m - 1 - k) for k, p in enumerate(parts)])
-        order = suffixes.suffix_array(t, m)
+        order = suffixes.suffix_array(t)
         assert order.tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
         lengths, before = suffixes.common_prefixes(t, order)
         for i, j in zip(order[1:].tolist(), order[:-1].tolist()):
