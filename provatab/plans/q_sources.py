@@ -22,46 +22,53 @@ def _shared_folder(spark) -> str:
 
 @query(
     "s1_json_artifacts",
-    """select case when s_suppkey % 10 > 1 then s_suppkey end as s_suppkey, case when s_suppkey % 10 > 1 then s_name end as s_name, case s_suppkey % 10 when 0 then 'not_object' when 1 then 'not_json' end as problem from supplier""",
+    """select case when page_id % 10 > 4 then page_id end as page_id, case when page_id % 10 > 4 then url end as url, case when page_id % 10 > 4 then html end as html,
+ case page_id % 10 when 0 then 'not_object' when 1 then 'not_json' when 2 then 'not_json' when 3 then 'not_json' when 4 then 'not_object' end as problem from pages""",
 )
 def _(spark, sf):
-    folder = _shared_folder(spark) + "/suppliers"
-    key = F.col("s_suppkey") % 10
-    own = F.to_json(F.struct("s_suppkey", "s_name"))
-    # A file per supplier; some hold a list, some no JSON.
-    value = F.when(key == 0, F.concat(F.lit("["), own, F.lit("]"))).when(key == 1, F.concat(own, F.lit(" and more"))).otherwise(F.concat(F.lit("\n\t"), own))
-    v.table(spark, sf, "supplier").select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
-    return readers.read_artifacts(spark, folder, "s_suppkey bigint, s_name string").drop("source_key")
+    folder = _shared_folder(spark) + "/pages"
+    own = F.to_json(F.struct("page_id", "url", "html"))
+    # A file per page: whole objects, and by the id a list, text behind the value, two values, an end that looks whole, a number.
+    bad = {0: F.concat(F.lit("["), own, F.lit("]")), 1: F.concat(own, F.lit(" and more }")), 2: F.concat(own, F.lit("\n"), own), 3: F.concat(own, F.lit("] [7")), 4: F.lit(" 12 ")}
+    value = F.concat(F.lit("\n\t"), own, F.lit(" \n"))
+    for k, text in bad.items():
+        value = F.when(F.col("page_id") % 10 == k, text).otherwise(value)
+    v.table(spark, sf, "pages").select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return readers.read_artifacts(spark, folder, "page_id bigint, url string, html string").drop("source_key")
 
 
 @query(
     "s2_jsonl_scan",
-    """select event_id, event_type, case when event_id % 5 = 1 then null else cast(event_id % 100 as bigint) end as size from events where event_type <> 'error'""",
+    """select case when event_type <> 'error' and event_id % 7 <> 0 then event_id end as event_id, case when event_type <> 'error' and event_id % 7 <> 0 then event_type end as event_type,
+ case when event_type <> 'error' and event_id % 7 <> 0 and event_id % 5 <> 1 then cast(event_id % 100 as bigint) end as size,
+ case when event_type = 'error' and value > 10 then 'not_object' when event_type = 'error' or event_id % 7 = 0 then 'not_json' end as problem from events""",
 )
 def _(spark, sf):
     folder = _shared_folder(spark) + "/events"
     e = v.table(spark, sf, "events")
-    # Objects behind a tab, with a number as text, and with a field that isn't a number: all valid lines.
+    # Objects behind a tab, with a number as text, and with a field that isn't a number: all valid lines. Every seventh holds two values or text behind one.
     size = F.when(F.col("event_id") % 5 == 1, F.lit('"many"')).when(F.col("event_id") % 5 == 2, F.concat(F.lit('"'), (F.col("event_id") % 100).cast("string"), F.lit('"'))).otherwise((F.col("event_id") % 100).cast("string"))
     valid = F.concat(F.when(F.col("event_id") % 3 == 0, F.lit("\t")).otherwise(F.lit("")), F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "event_type": "'), "event_type", F.lit('", "size": '), size, F.lit("}"))
-    line = F.when(F.col("event_type") == "error", F.when(F.col("value") > 10, "[1, 2]").otherwise('{"event_id": broken')).otherwise(valid)
+    two = F.when(F.col("event_id") % 2 == 0, F.concat(valid, valid)).otherwise(F.concat(valid, F.lit(" junk }")))
+    line = F.when(F.col("event_type") == "error", F.when(F.col("value") > 10, "[1, 2]").otherwise('{"event_id": broken')).when(F.col("event_id") % 7 == 0, two).otherwise(valid)
     e.select(F.explode(F.array(line, F.lit(" "))).alias("value")).write.text(folder)
-    return readers.read_jsonl(spark, folder, "event_id bigint, event_type string, size bigint").drop("source_key")
+    return readers.read_jsonl(spark, folder, "event_id bigint, event_type string, size bigint", problems=True).drop("source_key")
 
 
 @query(
     "s3_strict_lists",
-    """select case when s_nationkey % 5 > 0 then s_suppkey end as s_suppkey, case when s_nationkey % 5 = 0 then 'not_list' end as problem from supplier where s_nationkey % 5 > 0
- union all select null, 'not_list' from (select distinct s_nationkey from supplier where s_nationkey % 5 = 0)
- union all select null, 'not_object' from (select distinct s_nationkey from supplier where s_nationkey % 5 > 0)""",
+    """select case when conv_id % 5 > 1 then conv_id end as conv_id, case when conv_id % 5 > 1 then turn end as turn, case when conv_id % 5 > 1 then text end as text, cast(null as varchar) as problem from conversations where conv_id % 5 > 1
+ union all select null, null, null, case conv_id % 5 when 0 then 'not_list' else 'not_json' end from (select distinct conv_id from conversations where conv_id % 5 < 2)
+ union all select null, null, null, 'not_object' from (select distinct conv_id from conversations where conv_id % 5 > 1)""",
 )
 def _(spark, sf):
     folder = _shared_folder(spark) + "/lists"
-    # A file per nation (a nation's suppliers make one artefact), with a stray number in its list; some hold an object.
-    rows = v.table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.to_json(F.collect_list(F.struct("s_suppkey"))).alias("all"))
-    value = F.when(F.col("s_nationkey") % 5 == 0, F.concat(F.lit('{"all": '), "all", F.lit("}"))).otherwise(F.concat(F.lit("[7, "), F.expr("substring(all, 2)")))
+    # A file per conversation (its turns are one artefact), with a stray number in its list; some hold an object, some text behind the list.
+    rows = v.table(spark, sf, "conversations").groupBy("conv_id").agg(F.to_json(F.collect_list(F.struct("conv_id", "turn", "text"))).alias("all"))
+    listed = F.concat(F.lit("[7, "), F.expr("substring(all, 2)"))
+    value = F.when(F.col("conv_id") % 5 == 0, F.concat(F.lit('{"all": '), "all", F.lit("}"))).when(F.col("conv_id") % 5 == 1, F.concat(listed, F.lit(" tail ]"))).otherwise(listed)
     rows.select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
-    return readers.read_artifacts(spark, folder, "s_suppkey bigint", shape="list").drop("source_key")
+    return readers.read_artifacts(spark, folder, "conv_id bigint, turn bigint, text string", shape="list").drop("source_key")
 
 
 _KEYS = """keys as (select 'fallback/' || o_orderpriority || '/e' || o_custkey || '/document_id=' || o_orderkey || '/execution_id=x' || (o_orderkey % 3) || '/' || f as object_key,
@@ -171,20 +178,22 @@ def _(spark, sf):
 
 @query(
     "s11_published_runs",
-    """select o_orderstatus as entity, case when o_orderkey % 2 = 0 then 'x' else 'y' end as execution_id, count(*) as n_validation, count(*) as n_resolved, count(*) as n_audit from orders group by 1, 2""",
+    """select o_orderstatus as entity, case when o_orderkey % 2 = 0 then 'x' else 'y' end as execution_id, cast(sum(o_orderkey) as bigint) as sum_validation,
+ cast(sum(case when o_orderkey % 2 = 1 or o_orderkey % 3 = 0 then o_orderkey end) as bigint) as sum_resolved, cast(sum(case when o_orderkey % 2 = 1 then o_orderkey end) as bigint) as sum_audit from orders group by 1, 2""",
 )
 def _(spark, sf):
     folder = _shared_folder(spark)
     r = v.runs(spark, sf).select(
         F.col("run_status").alias("entity"), F.date_format("ts", "yyyy").alias("document_id"), F.when(F.col("seq") % 2 == 0, "x").otherwise("y").alias("execution_id"), "seq", "price",
     )
-    # Each run is published by itself, and one of them twice.
-    for run in ("x", "y", "x"):
-        own = r.where(F.col("execution_id") == run)
-        writers.publish_run(own.drop("price"), own, own.drop("price"), folder)
+    # Each run is published by itself, and one of them again: with fewer rows, and without any audit.
+    for run in ("x", "y", "x again"):
+        own = r.where(F.col("execution_id") == run[0])
+        again = run.endswith("again")
+        writers.publish_run(own.drop("price"), own.where("seq % 3 = 0") if again else own, own.drop("price").where(F.lit(not again)), folder)
     keys = ["entity", "execution_id"]
-    counts = [spark.read.parquet(f"{folder}/{t}").groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n_{t}")) for t in ("validation", "resolved", "audit")]
-    return counts[0].join(counts[1], keys).join(counts[2], keys)
+    sums = [writers.published(spark, folder, t).groupBy(*keys).agg(F.sum("seq").alias(f"sum_{t}")) for t in ("validation", "resolved", "audit")]
+    return sums[0].join(sums[1], keys, "left").join(sums[2], keys, "left")
 
 
 @query(

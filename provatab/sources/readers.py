@@ -18,34 +18,47 @@ def _variant_fields(value: str, fields) -> list[Column]:
     return [F.try_variant_get(value, f"$['{name}']", f.dataType.simpleString()).alias(f.name) for f, name in quoted]
 
 
+def _only_value(text: Column) -> Column:
+    """The JSON value that makes up the whole text; null for no JSON, several values, or text behind one.
+
+    The parser stops behind the first value. So the text becomes the first member of a list that ends in a digest of
+    the text: only a whole value leaves that list with these two members.
+    """
+    digest = F.md5(text)
+    both = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]'))), F.lit("$"), "array<variant>")
+    whole = (F.size(both) == 2) & (F.try_variant_get(F.get(both, F.lit(1)), F.lit("$"), "string") == digest)
+    return F.when(whole, F.get(both, F.lit(0)))
+
+
+def _shape(value: Column) -> Column:
+    """``object``, ``list`` or ``other``."""
+    kind = F.schema_of_variant(value)
+    return F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "list").otherwise("other")
+
+
 def read_artifacts(spark: SparkSession, glob: str, schema: str, *, shape: str = "object") -> DataFrame:
-    """S1 (``object``) and S3 (``list`` of objects): one JSON value per file, of that shape only.
+    """S1 (``object``) and S3 (``list`` of objects): one JSON value per file and nothing else, of that shape only.
 
     Rows have the fields, ``source_key`` (the file) and ``problem``: null, or why the file or a
     member of its list was not taken (``not_json``, ``not_object``, ``not_list``). A bad file gives
-    one problem row and stops no other.
+    one problem row and stops no other; a file without any byte gives none, since Spark does not open it.
     """
     fields = spark.createDataFrame([], schema).schema.fields
-    files = spark.read.text(glob, wholetext=True).select("value", F.col("_metadata.file_path").alias("source_key"))
-    # The JSON parser takes the first value and leaves what stands behind it, so the end is looked at too.
-    opens, ends = {"object": (r"^\s*\{", r"\}\s*$"), "list": (r"^\s*\[", r"\]\s*$")}[shape]
-    parsed = files.select("source_key", F.try_parse_json("value").alias("_v"), F.col("value").rlike(opens).alias("_ok"), F.col("value").rlike(ends).alias("_ended"))
-    whole = F.when(F.col("_v").isNull(), "not_json").when(~F.col("_ok"), f"not_{shape}").when(~F.col("_ended"), "not_json")
+    files = spark.read.text(glob, wholetext=True).select(_only_value(F.col("value")).alias("_v"), F.col("_metadata.file_path").alias("source_key"))
+    told = files.withColumn("problem", F.when(F.col("_v").isNull(), "not_json").when(_shape(F.col("_v")) != shape, f"not_{shape}"))
     if shape == "list":
-        members = F.when(whole.isNull(), F.try_variant_get("_v", "$", "array<variant>"))
-        parsed = parsed.select("source_key", whole.alias("_whole"), F.explode_outer(members).alias("_v")).where("_v is not null or _whole is not null")
-        object_ = F.to_json("_v").rlike(r"^\{")
-        problem = F.coalesce(F.col("_whole"), F.when(~object_, "not_object"))
-    else:
-        problem = whole
-    told = parsed.withColumn("problem", problem).withColumn("_v", F.when(F.col("problem").isNull(), F.col("_v")))
+        members = F.when(F.col("problem").isNull(), F.try_variant_get("_v", F.lit("$"), "array<variant>"))
+        told = told.select("source_key", F.col("problem").alias("_whole"), F.explode_outer(members).alias("_v")).where("_v is not null or _whole is not null")
+        told = told.withColumn("problem", F.coalesce("_whole", F.when(_shape(F.col("_v")) != "object", "not_object")))
+    told = told.withColumn("_v", F.when(F.col("problem").isNull(), F.col("_v")))
     return told.select(*_variant_fields("_v", fields), "source_key", "problem")
 
 
-def read_jsonl(spark: SparkSession, glob: str, schema: str) -> DataFrame:
-    """JSON lines; blank lines and lines that hold no object are skipped, missing files are empty.
+def read_jsonl(spark: SparkSession, glob: str, schema: str, *, problems: bool = False) -> DataFrame:
+    """JSON lines, one object each and nothing behind it; blank lines are skipped, missing files are empty.
 
-    Every object stays: a field of another type than asked for is cast if it can be and null if not.
+    Every object stays: a field of another type than asked for is cast if it can be and null if not. Other lines are
+    skipped, or with ``problems`` stay as rows whose ``problem`` is ``not_json`` or ``not_object``.
     """
     fields = spark.createDataFrame([], schema).schema.fields
     try:
@@ -54,9 +67,14 @@ def read_jsonl(spark: SparkSession, glob: str, schema: str) -> DataFrame:
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema).withColumn("source_key", F.lit(None).cast("string"))
-    parsed = lines.where(F.col("value").rlike(r"^\s*\{") & F.col("value").rlike(r"\}\s*$")).select(F.try_parse_json("value").alias("_v"), "source_key")
-    return parsed.where(F.col("_v").isNotNull()).select(*_variant_fields("_v", fields), "source_key")
+        none = spark.createDataFrame([], schema).withColumn("source_key", F.lit(None).cast("string"))
+        return none.withColumn("problem", F.lit(None).cast("string")) if problems else none
+    parsed = lines.where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "").select(_only_value(F.col("value")).alias("_v"), "source_key")
+    told = parsed.withColumn("problem", F.when(F.col("_v").isNull(), "not_json").when(_shape(F.col("_v")) != "object", "not_object"))
+    told = told.withColumn("_v", F.when(F.col("problem").isNull(), F.col("_v")))
+    if not problems:
+        return told.where("problem is null").select(*_variant_fields("_v", fields), "source_key")
+    return told.select(*_variant_fields("_v", fields), "source_key", "problem")
 
 
 def key_part(key: Column, field: str) -> Column:

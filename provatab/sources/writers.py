@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -57,14 +60,30 @@ def write_tables(tables: Mapping[str, DataFrame], path: str, *, mode: str = "ove
         table.write.mode(mode).parquet(f"{path}/{name}")
 
 
-def publish_run(validation: DataFrame, rows: DataFrame, audit: DataFrame, path: str) -> None:
-    """Validation report, resolved rows and audit, laid out by entity, document and execution.
+RUN = ["entity", "document_id", "execution_id"]
 
-    Publishing a run again replaces that run; all other runs stay.
+
+def publish_run(validation: DataFrame, rows: DataFrame, audit: DataFrame, path: str, runs: DataFrame | None = None) -> None:
+    """Validation report, resolved rows and audit of runs (``entity``, ``document_id``, ``execution_id``).
+
+    Publishing a run again replaces that run in all three tables, where it has no rows left too; all other runs stay.
+    ``runs`` names runs that have no rows in any of them. The tables are appended below a folder of this publication;
+    the list that says which publication of a run counts is written last, so readers see a run whole or as before.
     """
-    by = ["entity", "document_id", "execution_id"]
+    publication = uuid.uuid4().hex
+    named = [df.select(*RUN) for df in (validation, rows, audit, *([] if runs is None else [runs]))]
     for name, table in (("validation", validation), ("resolved", rows), ("audit", audit)):
-        table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{path}/{name}")
+        table.sortWithinPartitions(*RUN).write.parquet(f"{path}/{name}/publication={publication}")
+    keys = reduce(DataFrame.unionByName, named).distinct()
+    known = keys.withColumns({"publication": F.lit(publication), "published_at": F.lit(time.time_ns())})
+    known.write.mode("append").parquet(f"{path}/published")
+
+
+def published(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Rows of table ``name`` (``validation``, ``resolved`` or ``audit``) from the last publication of each run."""
+    table = spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}")
+    latest = spark.read.parquet(f"{path}/published").groupBy(*RUN).agg(F.max_by("publication", "published_at").alias("publication"))
+    return table.withColumn("publication", F.col("publication").cast("string")).join(latest, [*RUN, "publication"], "left_semi").drop("publication")
 
 
 def collection_stats(collections: Mapping[str, DataFrame], key: str = "document_id") -> DataFrame:
