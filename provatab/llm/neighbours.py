@@ -93,31 +93,36 @@ def _dots(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (rows * query).sum(axis=1)
 
 
-def search_block(ids, points, projected, query_id, query, at, reach, bound, k, chi) -> tuple[np.ndarray, np.ndarray]:
+def search_block(ids, points, distances, query_id, query, reach, bound, k, chi) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores of the best ``k`` of a block for one query, and no more than the stopping test asks for.
 
-    reach: squared norm of the query and the largest norm, so that reach - 2 * score is the squared distance.
-    bound: squared distance known to hold the k-th neighbour.
+    distances: squared projected distances of the block. reach: squared norm of the query and the largest norm, so
+    that reach - 2 * score is the squared distance. bound: squared distance known to hold the k-th neighbour.
     """
-    distances = ((projected - at) ** 2).sum(axis=1)
-    near = np.flatnonzero(distances <= chi * bound)
-    near = near[np.argsort(distances[near], kind="stable")]
-    best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-    done, step = 0, STEP
-    while done < len(near) and distances[near[done]] <= chi * bound:
-        rows = near[done : done + step]
-        rows = rows[ids[rows] != query_id]
-        best_ids = np.concatenate([best_ids, ids[rows]])
-        best = np.concatenate([best, _dots(points[rows], query)])
-        order = np.lexsort((best_ids, -best))[:k]
-        best_ids, best = best_ids[order], best[order]
-        if len(best) == k:
-            bound = min(bound, max(0.0, reach - 2 * best[-1]))
-        done, step = done + step, 2 * step
-    return best_ids, best
-
-
-def nearest(vectors: DataFrame, *, every: int = 20, k: int = 20, dims: int = 8, confidence: float = 0.95, seed: int = 7) -> DataFrame:
+    slack = 1e-9 * reach  # distances are differences of larger numbers
+    near = np.flatnonzero((distances <= chi * bound + slack) & (ids != query_id))
+    seen, scores, step = near[:0], np.zeros(0), STEP
+    while len(near):
+        if step < len(near):
+            order = np.argpartition(distances[near], step)
+            rows, near = near[order[:step]], near[order[step:]]
+        else:
+            rows, near = near, near[:0]
+        seen, scores = np.concatenate([seen, rows]), np.concatenate([scores, points[rows] @ query])
+        if len(seen) > k:
+            # Sums in another order may differ by rounding, so what comes that close stays for the exact scores.
+            least = np.partition(scores, -k)[-k]
+            kept = scores >= least - slack
+            seen, scores = seen[kept], scores[kept]
+            bound = min(bound, max(0.0, reach - 2 * least) * (1 + 1e-9))
+            near = near[distances[near] <= chi * bound + slack]
+        step *= 4
+    exact = _dots(points[seen], query)
+    order = np.lexsort((ids[seen], -exact))[:k]
+    return ids[seen][order], exact[order]
+
+
+def nearest(vectors: DataFrame, *, every: int = 20, k: int = 20, dims: int = 24, confidence: float = 0.88, seed: int = 7) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: for each row whose id is divisible by ``every`` its ``k``
     nearest of all other rows found, by inner product in double precision, ties to the smaller id.
 
@@ -182,9 +187,11 @@ def nearest(vectors: DataFrame, *, every: int = 20, k: int = 20, dims: int = 8,
         if left.num_rows and right.num_rows:
             ids, x, p = left.column("vec_id").to_numpy(), _matrix(left.column("x"), width), _matrix(left.column("p"), dims)
             queries = zip(right.column("vec_id").to_pylist(), _matrix(right.column("x"), width), _matrix(right.column("p"), dims), right.column("bound").to_pylist(), strict=True)
+            lengths_ = (p**2).sum(axis=1)
             for q, query, at, bound in queries:
                 reach = float((query**2).sum()) + largest**2
-                got, scores = search_block(ids, x, p, q, query, at, reach, bound, k, chi)
+                distances = lengths_ - 2 * (p @ at) + (at**2).sum()
+                got, scores = search_block(ids, x, distances, q, query, reach, bound, k, chi)
                 out_q.append(np.full(len(got), q))
                 out_v.append(got)
                 out_s.append(scores)
@@ -211,8 +218,10 @@ def nearest(vectors: DataFrame, *, every: int = 20, k: int = 20, dims: int = 8,
                 x, p = _matrix(own_.column("x"), width), _matrix(own_.column("p"), dims)
                 kth_ = own_.column("_kth").to_numpy(zero_copy_only=False).astype(float)
                 bound = np.where(np.isnan(kth_), np.inf, np.maximum(0.0, (x**2).sum(axis=1) + largest**2 - 2 * kth_) * (1 + 1e-9))
-                gap = np.maximum(0.0, np.maximum(low[None] - p[:, None], p[:, None] - high[None]))
-                rows, at = np.nonzero((gap**2).sum(axis=2) <= chi * bound[:, None])
+                gap = np.zeros((len(p), len(numbers)))
+                for d in range(dims):
+                    gap += np.maximum(0.0, np.maximum(low[:, d] - p[:, d : d + 1], p[:, d : d + 1] - high[:, d])) ** 2
+                rows, at = np.nonzero(gap <= chi * bound[:, None])
                 pick = pa.array(rows)
                 columns = {c: own_.column(c).take(pick) for c in ("vec_id", "x", "p", "place", "part")}
                 columns["leaf"] = pa.array(numbers[at].astype(np.int32))
