@@ -19,20 +19,21 @@ labels of the arcs taken.
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from provatab.llm import tokenizer_files as files
 from provatab.llm.common import Kept, slices, texts_of
 
 # Bytes of a word beyond which its beginnings aren't kept.
 LONG = 48
-# Entries a worker keeps of each kind: encodings, twice as many, and arcs.
-KEPT, KEPT_ARCS = 150_000, 300_000
+# Entries a worker keeps, some 120 MB when all are full: encodings of words and of what stands between spaces (twice
+# as many of each), paths of beginnings, and arcs. Text bytes encoded at once.
+KEPT_WORDS, KEPT_PARTS, KEPT_PATHS, KEPT_ARCS, READ_BYTES = 150_000, 120_000, 150_000, 300_000, 1 << 20
 
 
 class Automaton:
@@ -123,7 +124,7 @@ class Automaton:
                 continue
             head = paths.get(word[:begin])
             if head is None:
-                if len(paths) >= KEPT:
+                if len(paths) >= KEPT_PATHS:
                     paths.clear()
                 head = paths[word[:begin]] = self._path(word[:begin], self.inner, self.ends_inner)
             key = head[-1] * size + token
@@ -192,8 +193,8 @@ class Encoder:
         self.automaton = automaton(path)
         self.special = files.load(path).special
         self.cutter = files.special_cutter(path)
-        self.kept = Kept(KEPT, self.part)
-        self.kept_words = Kept(KEPT, lambda w: self.automaton.encode(w.encode()))
+        self.kept = Kept(KEPT_PARTS, self.part)
+        self.kept_words = Kept(KEPT_WORDS, lambda w: self.automaton.encode(w.encode()))
 
     def part(self, part: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable([self.kept_words[w] for w in files.part_words(part)]))
@@ -234,7 +235,7 @@ def encode_documents(docs: DataFrame, path: str, *, column: str = "text", decode
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        for batch in slices(batches, column):
+        for batch in slices(batches, column, READ_BYTES):
             ids = [e.encode(t) for t in texts_of(batch, column)]
             columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
@@ -246,11 +247,25 @@ def encode_documents(docs: DataFrame, path: str, *, column: str = "text", decode
 
 
 def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
-    """Per document: how many ids, and digests of the ids and of the text decoded from them."""
-    coded = encode_documents(docs.select("doc_id", "text"), path, decoded=True)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """Per document: how many ids, and digests of the ids and of the text decoded from them.
+
+    Made where the text is encoded, so neither ids nor decoded texts leave the worker. Null and empty texts have no
+    ids and decode to an empty text; repeated rows stay; other columns are not read.
+    """
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(path)
+        labels = e.automaton.labels
+        numbers = [str(i) for i in range(len(labels))]
+        for batch in slices(batches, "text", READ_BYTES):
+            counts, coded, decoded = [], [], []
+            for text in texts_of(batch):
+                ids = e.encode(text)
+                counts.append(len(ids))
+                coded.append(hashlib.sha256(" ".join([numbers[i] for i in ids]).encode()).hexdigest())
+                decoded.append(hashlib.sha256(decode(ids, labels).encode()).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=names)
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

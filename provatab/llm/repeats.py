@@ -26,7 +26,7 @@ from provatab.llm.common import bytes_of, slices, written
 from provatab.llm.suffixes import common_prefixes, suffix_array
 
 # Bytes of a gram; text bytes scanned at once; bytes of a shard; windows a piece stands for after each cut.
-GRAM, SCAN_BYTES, SHARD_BYTES, CUTS = 64, 1 << 20, 1 << 20, (32, 8, 1)
+GRAM, SCAN_BYTES, SHARD_BYTES, CUTS = 64, 1 << 20, 1 << 18, (32, 8, 1)
 # Repeated anchors (a long each) up to which they are sent to the tasks that look for them.
 SENT_ANCHORS = 2_000_000
 # Odd multipliers that spread numbers over 64 bits, and the inverse of the first.
