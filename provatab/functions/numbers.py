@@ -84,8 +84,28 @@ def number_of(text: Column, *, column: Column | None = None, published: bool = T
     """
     flat = normalize_space(fold_compat(text.cast("string")) if published else text.cast("string"))
     full = bound(flat, (lambda t: _signed(t, column)) if published else (lambda t: _value(t, column)))
-    # Digits and separators only, as almost every cell is: no mark, word or sign can occur.
-    return F.when(text.rlike("^-?[0-9.,]+$"), bound(text, lambda t: _general(t, column))).otherwise(full)
+    # Digits and separators only: no mark, word or sign can occur.
+    general = F.when(text.rlike("^-?[0-9.,]+$"), bound(text, lambda t: _general(t, column))).otherwise(full)
+    # The usual forms, which mean the same in every column: few operations, all compiled. Money whose comma a column
+    # of integers would read otherwise takes the long way there.
+    money = _MONEY if not published else f"{_MONEY}|^\\({_MONEY[1:-1]}\\)$"
+    amount = F.translate(F.translate(text, "R$ ()", ""), ",.", ".").try_cast("double")
+    amount = F.when(text.startswith("("), -amount).otherwise(amount)
+    if column is not None:
+        amount = F.when(_holds_integers(F.lower(normalize_space(column))), general).otherwise(amount)
+    return (
+        F.when(text.rlike("^-?[0-9]+(\\.[0-9]{1,2})?$"), _number(text))
+        .when(text.rlike("^-?[0-9]+(,[0-9]+)?%$"), _number(F.translate(text, ",%", ".")))
+        .when(text.rlike(money), amount)
+        .otherwise(general)
+    )
+
+
+_MONEY = "^(?:R\\$ ?)?-?[0-9]{1,3}(?:\\.[0-9]{3})*,[0-9]{1,2}$"
+
+
+def _holds_integers(hint: Column) -> Column:
+    return hint.rlike("^\\d+t_\\d{4}$") | _any_hint(hint, INTEGER_HINTS)
 
 
 def _signed(t: Column, column: Column | None) -> Column:
@@ -125,7 +145,7 @@ def _general(t: Column, column: Column | None, scale: Column | None = None) -> C
         return number if scale is None else number * scale
     hint = F.lower(normalize_space(column))
     parts = F.struct(
-        (hint.rlike("^\\d+t_\\d{4}$") | _any_hint(hint, INTEGER_HINTS)).alias("whole"),
+        _holds_integers(hint).alias("whole"),
         _any_hint(hint, PERCENT_HINTS).alias("share"),
         F.regexp_replace(t, "[^0-9.\\-+]", "").alias("i"),
         kept.alias("k"),

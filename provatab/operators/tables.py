@@ -36,9 +36,13 @@ def explode_cells(tables: DataFrame, rows: str = "rows") -> DataFrame:
 
 
 def header_cells(tables: DataFrame, header: str = "schema") -> DataFrame:
-    """One row per header: raw text and the normalised column name."""
-    names = tables.select(*TABLE, F.arrays_zip(F.col(header).alias("raw"), tx.unique_names(F.col(header)).alias("name")).alias("_h"))
-    return names.select(*TABLE, F.posexplode("_h").alias("column_index", "_c")).select(
+    """One row per header: raw text and the normalised column name. Equal header rows are named once."""
+    raw = F.col(header)
+    named = tables.select(raw.alias("_raw")).distinct().withColumn("_names", tx.unique_names(F.col("_raw")))
+    met = tables.select(*TABLE, raw.alias("_own")).join(named, F.col("_own") == F.col("_raw"))
+    names = met.select(*TABLE, F.arrays_zip(F.col("_raw").alias("raw"), F.col("_names").alias("name")).alias("_h"))
+    # An outer explode, because Spark would test the size of an inner one's array in a filter and compute all names again.
+    return names.select(*TABLE, F.posexplode_outer("_h").alias("column_index", "_c")).where("column_index is not null").select(
         *TABLE, "column_index", F.col("_c.raw").alias("header"), F.col("_c.name").alias("column_name")
     )
 
@@ -79,14 +83,12 @@ def melt_rows(cells: DataFrame, headers: DataFrame, source_kind: str = "table")
     """
     typed = typed_cells(cells, headers)
     dimension = (F.col("semantics") == "dimension") | (F.col("value_raw") == "")
-    # One list of cells is aggregated, so each cell is parsed once.
-    cell = F.struct(F.col("column_name").alias("k"), F.col("value_raw").alias("t"), F.when(~dimension, F.col("value_num")).alias("n"))
-    rows = typed.groupBy(*TABLE, "row_index").agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
-    key = F.transform(
-        "_cells", lambda c: F.struct(F.when(c["n"].isNull(), c["k"]).otherwise(F.concat(c["k"], F.lit("__raw"))).alias("key"), c["t"].alias("value"))
+    read = typed.select(*TABLE, "row_index", "column_name", "value_raw", F.when(~dimension, F.col("value_num")).alias("_n"))
+    text = F.struct(F.when(F.col("_n").isNull(), F.col("column_name")).otherwise(F.concat("column_name", F.lit("__raw"))).alias("key"), F.col("value_raw").alias("value"))
+    number = F.when(F.col("_n").isNotNull(), F.struct(F.col("column_name").alias("key"), F.col("_n").alias("value")))
+    rows = read.groupBy(*TABLE, "row_index").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(text))).alias("attributes"), F.map_from_entries(F.sort_array(F.collect_list(number))).alias("measures")
     )
-    number = F.transform(F.filter("_cells", lambda c: c["n"].isNotNull()), lambda c: F.struct(c["k"].alias("key"), c["n"].alias("value")))
-    rows = rows.select(*TABLE, "row_index", F.map_from_entries(key).alias("attributes"), F.map_from_entries(number).alias("measures"))
     return rows.select(
         tx.stable_id(F.col("document_id"), F.lit(source_kind), F.col("table_id"), F.col("row_index")).alias("record_id"),
         "document_id", F.lit(source_kind).alias("source_kind"), F.col("table_id").alias("source_id"), "row_index",
