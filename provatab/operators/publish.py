@@ -121,11 +121,10 @@ def export_preflight(rows: DataFrame, audit: DataFrame, runs: DataFrame) -> Data
 
 
 def manifest_of(resolutions: DataFrame, manifests: DataFrame) -> DataFrame:
-    """The only manifest of each resolution; none or several fail."""
+    """The only manifest of each resolution in ``manifest_key``; ``problem`` says where there is none
+    (``no_manifest``) or where there are several (``several_manifests``), and the key is null."""
     key = ["entity", "document_id", "execution_id"]
     found = manifests.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("manifest_key").alias("_k"))
     joined = resolutions.join(found, key, "left")
-    message = F.concat(F.lit("manifest not unique for "), F.concat_ws("/", *key))
-    chosen = F.when(F.coalesce("_n", F.lit(0)) == 1, F.col("_k")).otherwise(F.raise_error(message))
-    return joined.select(*resolutions.columns, chosen.alias("manifest_key"))
-
+    problem = F.when(F.col("_n").isNull(), "no_manifest").when(F.col("_n") > 1, "several_manifests")
+    return joined.select(*resolutions.columns, F.when(F.col("_n") == 1, F.col("_k")).alias("manifest_key"), problem.alias("problem"))

@@ -16,6 +16,7 @@ from provatab.operators.matching import literal_matches
 from provatab.operators.tables import TABLE
 
 # Repair scopes and key names a candidate must not hold.
+NOT_FOR_REPAIR = "nao_aplicavel"
 PARTIAL, TOTAL, CREATION, UNSUPPORTED = (
     "correcao_parcial_mapeamento",
     "regeneracao_total_mapeamento",
@@ -40,7 +41,8 @@ MIN_TERM = 3
 def classify_failures(runs: DataFrame, rules: DataFrame, audit: DataFrame) -> DataFrame:
     """G1: repair scope of each run.
 
-    ``runs`` has ``document_id, status`` (asking for a compatible run fails), ``rules`` the rule
+    ``runs`` has ``document_id, status`` (a compatible run that asks is
+    ``nao_aplicavel``, and stops no other), ``rules`` the rule
     verdicts with ``profile_open`` where a period profile was left unresolved.
     """
     bad = rules.where("status = 'reprovada'")
@@ -59,7 +61,7 @@ def classify_failures(runs: DataFrame, rules: DataFrame, audit: DataFrame) -> Da
     broad = (F.col("_total") > 0) | (F.col("rejected") >= 3) | (F.col("open_required") > 2)
     narrow = (F.col("_partial") > 0) | F.col("open_required").between(1, 2)
     scope = (
-        F.when(F.col("status") == "compativel", F.raise_error(F.concat(F.lit("compatible run asks for repair: "), F.col("document_id").cast("string"))))
+        F.when(F.col("status") == "compativel", NOT_FOR_REPAIR)
         .when(F.col("status") != "incompativel", UNSUPPORTED)
         .when(broad, TOTAL)
         .when(narrow, PARTIAL)

@@ -264,25 +264,25 @@ def table_row_records(segments: DataFrame, fields: DataFrame, cells: DataFrame,
 
 
 def joined_records(sources: dict[str, DataFrame], fixed: dict[str, str] | None = None, by_key: dict[str, dict[str, str]] | None = None) -> DataFrame:
-    """inner join of keyed record lists; null keys drop, a repeated key in a source fails.
+    """inner join of keyed record lists; null keys drop, a key that a source repeats is a problem.
 
-    Each source has ``document_id``, ``key`` and its own value columns; where two share a column
+    A repeated key gives one row whose ``problem`` names the sources that repeat it and whose values are null; all
+    other rows, of that document too, have no problem. Each source has ``document_id``, ``key`` and its own value columns; where two share a column
     the later source wins. ``fixed`` adds constants, ``by_key`` maps a key pattern to constants,
     later rules last. The result is meant to be read in key order.
     """
     if len(sources) < 2:
         raise ValueError("a record join needs at least two sources")
     ids = ["document_id", "key"]
-    guarded = []
+    single, problems = [], []
     for name, rows in sources.items():
         present = rows.where("key is not null").withColumn("key", F.col("key").cast("string"))
         values = [c for c in rows.columns if c not in ids]
         unique = present.groupBy(*ids).agg(F.first(F.struct(*values)).alias(f"_{name}"), F.count(F.lit(1)).alias("_n"))
-        message = F.concat(F.lit(f"repeated key in {name}: "), F.col("key"))
-        guarded.append(
-            unique.select(*ids, F.when(F.col("_n") == 1, F.col(f"_{name}")).otherwise(F.raise_error(message)).alias(f"_{name}"))
-        )
-    joined = reduce(lambda a, b: a.join(b, ids), guarded)
+        single.append(unique.where("_n = 1").drop("_n"))
+        problems.append(unique.where("_n > 1").select(*ids, F.lit(f"repeated_key:{name}").alias("problem")))
+    told = reduce(DataFrame.unionByName, problems).groupBy(*ids).agg(F.array_join(F.sort_array(F.collect_list("problem")), ",").alias("problem"))
+    joined = reduce(lambda a, b: a.join(b, ids), single)
     columns: dict[str, Column] = {}
     for name, rows in sources.items():
         columns.update({c: F.col(f"_{name}")[c] for c in rows.columns if c not in ids})
@@ -291,7 +291,8 @@ def joined_records(sources: dict[str, DataFrame], fixed: dict[str, str] | None =
         for path, value in values.items():
             before = columns.get(path, F.lit(None).cast("string"))
             columns[path] = F.when(F.col("key").rlike(pattern), F.lit(value)).otherwise(before)
-    return joined.select(*ids, *[c.alias(name) for name, c in columns.items()])
+    good = joined.select(*ids, *[c.alias(name) for name, c in columns.items()], F.lit(None).cast("string").alias("problem"))
+    return good.unionByName(told, allowMissingColumns=True)
 
 
 # --- dispatch ---------------------------------------------------------------------------------
@@ -308,6 +309,27 @@ def literal_first(mappings: DataFrame, nodes: DataFrame) -> tuple[DataFrame, Dat
     return won, rest
 
 
+# Kinds that read one artefact by name.
+_READS = ("campo_json", "cabecalho_de_tabela", "celula_de_tabela", "linhas_de_tabela")
+
+
+def known_artifacts(evidence: dict[str, DataFrame]) -> DataFrame:
+    """``document_id`` and ``arquivo_origem`` of the artefacts the evidence comes from."""
+    none = F.lit(None).cast("string")
+    parts = [e.select("document_id", F.col(c).alias("arquivo_origem")) for n, c in (("headers", "table_id"), ("cells", "table_id"), ("json", "arquivo_origem")) if (e := evidence.get(n)) is not None and c in e.columns]
+    return reduce(DataFrame.unionByName, parts).distinct() if parts else next(iter(evidence.values())).select("document_id", none.alias("arquivo_origem")).limit(0)
+
+
+def mapping_errors(mappings: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """``document_id``, ``ord`` and ``evidencia`` of the mappings whose artefact the document does not have, or whose
+    pattern is none."""
+    wanted = mappings.where(F.col("tipo_origem").isin(*_READS))
+    missing = wanted.join(artifacts.select("document_id", "arquivo_origem"), ["document_id", "arquivo_origem"], "left_anti")
+    unread = missing.select(*MAPPING, F.concat(F.lit("artefato nao encontrado: "), F.coalesce("arquivo_origem", F.lit(""))).alias("evidencia"))
+    unsound = _of(mappings, "bloco_textual").where(F.col("padrao").isNotNull() & sound_pattern(F.col("padrao")).isNull())
+    return unread.unionByName(unsound.select(*MAPPING, F.concat(F.lit("padrao invalido: "), "padrao").alias("evidencia")))
+
+
 def resolve_mappings(
     mappings: DataFrame,
     evidence: dict[str, DataFrame],
@@ -315,18 +337,24 @@ def resolve_mappings(
     nodes: DataFrame | None = None,
     synonyms: DataFrame | None = None,
     records: DataFrame | None = None,
+    artifacts: DataFrame | None = None,
 ) -> DataFrame:
     """audit row of every mapping, one branch per origin kind.
 
     ``evidence`` may hold ``cells``, ``headers``, ``blocks`` and ``json``. ``records`` are
     ``(document_id, ord, n)`` counts of the list-valued origins; an empty list is unresolved.
-    A kind nobody supports gives ``nao_suportado``.
+    A kind nobody supports gives ``nao_suportado``. A mapping whose artefact the document does not have, or whose pattern
+    is none, gives ``erro`` and stops no other; ``artifacts`` (``document_id``, ``arquivo_origem``) names what there is, by default what the
+    evidence comes from. Contract literals come before that.
     """
     parts = []
     rest = mappings
     if nodes is not None:
         won, rest = literal_first(mappings, nodes)
         parts.append(won)
+    errors = mapping_errors(rest, known_artifacts(evidence) if artifacts is None else artifacts)
+    parts.append(_audit(rest.join(errors, MAPPING), F.lit(None)).withColumn("status_resolucao", F.lit("erro")))
+    rest = rest.join(errors, MAPPING, "left_anti")
     parts.append(fixed_values(rest))
     if "json" in evidence:
         parts.append(json_fields(rest, evidence["json"]))

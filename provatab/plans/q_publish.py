@@ -98,7 +98,16 @@ def _(spark, sf):
     return out.groupBy("document_id", "problem").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("x5_resolution_manifests", "select cast(o_orderkey as varchar) as document_id, 'm/' || o_orderkey as manifest_key from orders")
+@query(
+    "x5_resolution_manifests",
+    """select cast(o_orderkey as varchar) as document_id, case when o_orderkey % 5 > 1 then 'm/' || o_orderkey end as manifest_key,
+ case o_orderkey % 5 when 0 then 'no_manifest' when 1 then 'several_manifests' end as problem from orders""",
+)
 def _(spark, sf):
-    r = v.runs(spark, sf).select("entity", "document_id", "execution_id")
-    return pb.manifest_of(r, r.withColumn("manifest_key", F.concat(F.lit("m/"), "document_id"))).select("document_id", "manifest_key")
+    r = v.runs(spark, sf)
+    keys = r.select("entity", "document_id", "execution_id")
+    # One manifest a run, none for every fifth, two for the one after it.
+    many = F.when(F.col("seq") % 5 == 0, 0).when(F.col("seq") % 5 == 1, 2).otherwise(1)
+    manifests = r.where(many > 0).select("entity", "document_id", "execution_id", F.explode(F.sequence(F.lit(1), many)).alias("n"))
+    manifests = manifests.withColumn("manifest_key", F.concat(F.lit("m/"), "document_id"))
+    return pb.manifest_of(keys, manifests).select("document_id", "manifest_key", "problem")

@@ -22,7 +22,7 @@ NORMAL = "lower(trim(regexp_replace(regexp_replace(strip_accents({t}), '[^\\x00-
     "g1_failure_scopes",
     """with r as (select l_orderkey as k, count(*) filter (where l_returnflag = 'R') as rejected, count(*) filter (where l_returnflag = 'R' and l_linenumber = 1) as tot,
   count(*) filter (where l_returnflag = 'R' and l_linenumber in (2, 3)) as par, count(*) filter (where l_linestatus = 'O' and l_quantity > 40) as open_required from lineitem group by 1)
- select cast(o_orderkey as varchar) as document_id, case when o_orderstatus = 'P' then 'falha_nao_suportada_para_fallback_automatico' when coalesce(tot, 0) > 0 or coalesce(rejected, 0) >= 3 or coalesce(open_required, 0) > 2 then 'regeneracao_total_mapeamento'
+ select cast(o_orderkey as varchar) as document_id, case when o_orderstatus = 'P' and o_orderkey % 4 = 0 then 'nao_aplicavel' when o_orderstatus = 'P' then 'falha_nao_suportada_para_fallback_automatico' when coalesce(tot, 0) > 0 or coalesce(rejected, 0) >= 3 or coalesce(open_required, 0) > 2 then 'regeneracao_total_mapeamento'
   when coalesce(par, 0) > 0 or coalesce(open_required, 0) between 1 and 2 then 'correcao_parcial_mapeamento' else 'falha_nao_suportada_para_fallback_automatico' end as scope from orders left join r on k = o_orderkey""",
 )
 def _(spark, sf):
@@ -34,7 +34,7 @@ def _(spark, sf):
         F.when(n == 1, "arquivo_existe").when(n == 2, "linha_existe_em_tabela").when(n == 3, "perfil_colunas_periodo_existe_em_tabela").otherwise("outra").alias("tipo_teste"), F.lit(False).alias("profile_open"),
     )
     audit = l.select(doc, (F.col("l_quantity") > 40).alias("obrigatorio"), F.when(F.col("l_linestatus") == "O", "nao_resolvido").otherwise("resolvido").alias("status_resolucao"))
-    runs = v.runs(spark, sf).select("document_id", F.when(F.col("run_status") == "P", "outro").otherwise("incompativel").alias("status"))
+    runs = v.runs(spark, sf).select("document_id", F.when((F.col("run_status") == "P") & (F.col("seq") % 4 == 0), "compativel").when(F.col("run_status") == "P", "outro").otherwise("incompativel").alias("status"))
     return rp.classify_failures(runs, rules, audit).select("document_id", "scope")
 
 

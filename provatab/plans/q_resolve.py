@@ -195,7 +195,8 @@ def _(spark, sf):
 
 @query(
     "f11_joined_records",
-    """select cast(o_orderkey as varchar) as document_id, c_name as cliente, cast(sum(l_quantity) as bigint) as quantidade, case when o_orderkey % 10 = 7 then 'sete' else 'comum' end as classe from orders join customer on o_custkey = c_custkey join lineitem on l_orderkey = o_orderkey group by o_orderkey, c_name""",
+    """select cast(o_orderkey as varchar) as document_id, c_name as cliente, cast(sum(l_quantity) as bigint) as quantidade, case when o_orderkey % 10 = 7 then 'sete' else 'comum' end as classe, cast(null as varchar) as problem from orders join customer on o_custkey = c_custkey join lineitem on l_orderkey = o_orderkey where o_orderkey % 11 > 0 group by o_orderkey, c_name
+ union all select cast(o_orderkey as varchar), null, null, null, case when o_orderkey % 2 = 0 then 'repeated_key:estado,repeated_key:pedidos' else 'repeated_key:estado' end from orders where o_orderkey % 11 = 0""",
 )
 def _(spark, sf):
     o, c, l = (v.table(spark, sf, t) for t in ("orders", "customer", "lineitem"))
@@ -203,8 +204,11 @@ def _(spark, sf):
     a = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(key.alias("document_id"), key.alias("key"), F.col("c_name").alias("cliente"))
     b = l.groupBy("l_orderkey").agg(F.sum("l_quantity").cast("bigint").alias("quantidade")).select(F.col("l_orderkey").cast("string").alias("document_id"), F.col("l_orderkey").cast("string").alias("key"), "quantidade")
     d = o.select(key.alias("document_id"), F.when(F.col("o_orderkey") >= 0, key).alias("key"), F.col("o_orderstatus").alias("status"))
+    # Every eleventh key is there twice in one source, and if even in two.
+    a = a.unionByName(a.where(F.col("key").cast("bigint") % 22 == 0))
+    d = d.unionByName(d.where(F.col("key").cast("bigint") % 11 == 0))
     out = rs.joined_records({"pedidos": a, "linhas": b, "estado": d}, {"classe": "comum"}, {"7$": {"classe": "sete"}})
-    return out.select("document_id", "cliente", "quantidade", "classe")
+    return out.select("document_id", "cliente", "quantidade", "classe", "problem")
 
 
 @query(
@@ -248,7 +252,7 @@ def supplier_audit(spark, sf):
 
 @query(
     "f1_dispatch",
-    """with d as (select distinct l_suppkey as k from lineitem where l_linestatus = 'F'), t as (select unnest(['valor_fixo', 'campo_derivado', 'adivinhar', 'cabecalho_de_tabela', 'linhas_de_tabela']) as tipo_origem, unnest(['resolvido', 'resolvido', 'nao_suportado', 'resolvido', 'nao_resolvido']) as status)
+    """with d as (select distinct l_suppkey as k from lineitem where l_linestatus = 'F'), t as (select unnest(['valor_fixo', 'campo_derivado', 'adivinhar', 'cabecalho_de_tabela', 'linhas_de_tabela', 'cabecalho_de_tabela', 'celula_de_tabela', 'bloco_textual']) as tipo_origem, unnest(['resolvido', 'resolvido', 'nao_suportado', 'resolvido', 'nao_resolvido', 'erro', 'erro', 'erro']) as status)
  select tipo_origem, status, count(*) as n from d, t group by 1, 2""",
 )
 def _(spark, sf):
@@ -256,6 +260,8 @@ def _(spark, sf):
     parts = [
         mapping(docs, 1, "a", "valor_fixo", valor_fixo="1"), mapping(docs, 2, "b", "campo_derivado", campo_origem="a"), mapping(docs, 3, "c", "adivinhar"),
         mapping(docs, 4, "d", "cabecalho_de_tabela", "vendas", indice_coluna_esperado=1), mapping(docs, 5, "e", "linhas_de_tabela", "vendas"),
+        mapping(docs, 6, "f", "cabecalho_de_tabela", "nenhuma", indice_coluna_esperado=1), mapping(docs, 7, "h", "celula_de_tabela", valor_aceito="x", indice_coluna_esperado=1),
+        mapping(docs, 8, "i", "bloco_textual", padrao="(["),
     ]
     records = docs.select("document_id", F.lit(5).alias("ord"), F.lit(0).alias("n"))
     out = rs.resolve_mappings(reduce(DataFrame.unionByName, parts), {"headers": v.period_headers(spark, sf)}, records=records)
