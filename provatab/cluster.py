@@ -208,6 +208,26 @@ def neighbours(
     return joined.select(*df.columns, *added)
 
 
+def follow_pointers(nodes: DataFrame, keys: Sequence[str], at: str, to: str, value: str) -> DataFrame:
+    """``(keys, at, value)``: of each node the first value on the way along ``to``; null where there is none.
+
+    Every round doubles the steps a pointer stands for, so a chain of n nodes takes about log2(n) rounds. A round in
+    which no open node closes leaves cycles alone, which have no value.
+    """
+    keys, open_before = list(keys), None
+    nodes = checkpointed(nodes.select(*keys, at, to, value))
+    is_open = F.col(value).isNull() & F.col(to).isNotNull()
+    while True:
+        still = nodes.where(is_open).count()
+        if still in (0, open_before):
+            return nodes.select(*keys, at, value)
+        open_before = still
+        far = nodes.select(*keys, F.col(at).alias(to), F.col(to).alias("_far_to"), F.col(value).alias("_far_value"))
+        nodes = checkpointed(
+            nodes.join(far, [*keys, to], "left").select(*keys, at, F.when(is_open, F.col("_far_to")).alias(to), F.coalesce(value, "_far_value").alias(value))
+        )
+
+
 def exact_quantile(df: DataFrame, dims: Sequence[str], value: str, q: float, name: str) -> DataFrame:
     """Exact linear-interpolated quantile per group, without one task seeing a whole group.
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provatab.cluster import broadcast_if_small, checkpointed, first_per_key
+from provatab.cluster import broadcast_if_small, checkpointed, first_per_key, follow_pointers
 from provatab.functions import numbers, paths
 from provatab.functions import text as tx
 from provatab.operators.contract import CONTRACT
@@ -62,27 +62,18 @@ def fixed_values(mappings: DataFrame) -> DataFrame:
 def derived_fields(mappings: DataFrame, resolved: DataFrame) -> DataFrame:
     """value of an earlier mapping path of the same document.
 
-    References only point backwards, so each round resolves one more link of every chain at
-    once; a round without news ends it.
+    References only point backwards. Chains are followed by doubling pointers, so a chain of n links takes about
+    log2(n) rounds.
     """
     wanted = _of(mappings, "campo_derivado")
-    first_ord = wanted.select("document_id", F.col("ord").alias("_o"), F.col("campo_origem").alias("_ref"))
-    known = resolved.select("document_id", "ord", "mapping_path", F.col("valor_resolvido").alias("_v"))
-    open_ = first_ord.select("document_id", F.col("_o").alias("_target"), "_o", "_ref")
-    values = None
-    while True:
-        hit = open_.join(known.withColumnRenamed("mapping_path", "_ref"), ["document_id", "_ref"]).where(F.col("ord") < F.col("_o"))
-        found = hit.groupBy("document_id", F.col("_target").alias("ord")).agg(F.max_by("_v", F.col("ord")).alias("_v"))
-        values = found if values is None else values.unionByName(found)
-        # Follow references that are derived themselves.
-        links = wanted.select("document_id", F.col("mapping_path").alias("_ref"), F.col("ord").alias("_next"), F.col("campo_origem").alias("_to"))
-        open_ = checkpointed(
-            open_.join(links, ["document_id", "_ref"])
-            .where(F.col("_next") < F.col("_o"))
-            .select("document_id", "_target", F.col("_next").alias("_o"), F.col("_to").alias("_ref"))
-        )
-        if open_.isEmpty():
-            break
+    asked = wanted.select(*MAPPING, F.col("campo_origem").alias("_ref"))
+    known = resolved.select("document_id", F.col("mapping_path").alias("_ref"), F.col("ord").alias("_at"), F.col("valor_resolvido").alias("_v"))
+    derived = wanted.select("document_id", F.col("mapping_path").alias("_ref"), F.col("ord").alias("_at"), F.lit(None).cast("string").alias("_v"))
+    before = asked.join(known.unionByName(derived), ["document_id", "_ref"]).where(F.col("_at") < F.col("ord"))
+    # Of several earlier mappings of a path the last one counts.
+    last = before.groupBy(*MAPPING).agg(F.max_by(F.struct("_at", "_v"), "_at").alias("_p"))
+    nodes = asked.join(last, MAPPING, "left").select(*MAPPING, F.col("_p._at").alias("_to"), F.col("_p._v").alias("_v"))
+    values = follow_pointers(nodes, ["document_id"], "ord", "_to", "_v")
     return _audit(wanted.join(values, MAPPING, "left"), F.col("_v"))
 
 
