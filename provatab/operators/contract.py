@@ -49,7 +49,7 @@ def is_type_descriptor(text: Column) -> Column:
     return (clean != "") & (clean.contains("|") | clean.isin(*TYPE_WORDS))
 
 
-def contract_nodes(contracts: DataFrame, contract: str = "contract", depth: int = 32) -> DataFrame:
+def contract_nodes(contracts: DataFrame, contract: str = "contract") -> DataFrame:
     """Every path of the output schema with its kind and, for leaves, its literal.
 
     ``kind`` is ``object``, ``array``, ``literal`` or ``descriptor``. Only the first item of an
@@ -59,7 +59,7 @@ def contract_nodes(contracts: DataFrame, contract: str = "contract", depth: int
     root = F.try_variant_get(F.try_parse_json(contract), F.lit("$.schema_saida"), "variant")
     level = contracts.select(*CONTRACT, F.lit("").alias("path"), root.alias("node"), F.lit(False).alias("in_array"))
     found = None
-    for _ in range(depth):
+    while True:
         kind = F.schema_of_variant("node")
         shape = F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array")
         text = F.try_variant_get("node", F.lit("$"), "string")
@@ -69,7 +69,7 @@ def contract_nodes(contracts: DataFrame, contract: str = "contract", depth: int
         ).where("path <> ''")
         found = here if found is None else found.unionByName(here)
         dotted = F.when(F.col("path") == "", F.col("key")).otherwise(F.concat("path", F.lit("."), F.col("key")))
-        level = (
+        level = checkpointed(
             level.where(kind.rlike("^(OBJECT|ARRAY)"))
             .withColumn("_array", kind.startswith("ARRAY"))
             .lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
@@ -83,8 +83,6 @@ def contract_nodes(contracts: DataFrame, contract: str = "contract", depth: int
         )
         if level.isEmpty():
             break
-    else:
-        raise ValueError("output schema nests too deep")
     # A path under an array item repeats the array's own path; the array row stays. The relation is
     # a few hundred rows that every later join reads, so the levels are walked once.
     is_array = F.bool_or(F.col("kind") == "array")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from provatab.cluster import first_per_key
+from provatab.cluster import checkpointed, first_per_key
 from provatab.functions.periods import disclosure_window
 from provatab.functions.text import normalize_text
 
@@ -205,24 +205,23 @@ def candidate_documents(docs: DataFrame, day: Column, keywords: Sequence[str], *
     return in_window(shaped, day, **columns)
 
 
-def walk_json(df: DataFrame, col: str, depth: int = 32) -> DataFrame:
-    """Every object nested in a JSON column, with its path.
+def walk_json(df: DataFrame, col: str) -> DataFrame:
+    """Every object nested in a JSON column, with its path, at any depth.
 
-    Variants are exploded level by level until no container is left; ``depth`` guards against a
-    payload that never ends and fails rather than cutting it.
+    Variants are exploded level by level until no container is left; each level is written once and read by the next.
     """
     spark = df.sparkSession
     keep = [c for c in df.columns if c != col]
-    level = df.select(*keep, F.lit("$").alias("path"), F.try_parse_json(col).alias("node"))
+    level = checkpointed(df.select(*keep, F.lit("$").alias("path"), F.try_parse_json(col).alias("node")))
     found = None
-    for _ in range(depth):
+    while True:
         kind = F.schema_of_variant("node")
         objects = level.where(kind.startswith("OBJECT")).select(*keep, "path", F.to_json("node").alias("object"))
         found = objects if found is None else found.unionByName(objects)
         step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(
             F.concat(F.lit("."), F.col("key"))
         )
-        level = (
+        level = checkpointed(
             level.where(kind.rlike("^(OBJECT|ARRAY)"))
             .lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
             .select(*keep, F.concat("path", step).alias("path"), F.col("value").alias("node"))
@@ -230,7 +229,6 @@ def walk_json(df: DataFrame, col: str, depth: int = 32) -> DataFrame:
         )
         if level.isEmpty():
             return found
-    raise ValueError(f"{col} nests deeper than {depth} levels")
 
 
 def list_runs(runs: DataFrame, created: str, *, entity: Column | None = None) -> DataFrame:

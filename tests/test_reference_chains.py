@@ -52,3 +52,16 @@ def test_blocks_find_sections_through_their_ancestors(spark):
     got = {r.block_id: r.case_section_id for r in evidence.resolve_block_sections(df, sections).collect()}
     assert all(got[f"b{i}"] == "s1" for i in range(400))
     assert {k: got[k] for k in ("c", "own", "under", "x", "y", "lost")} == {"c": "s1", "own": "s2", "under": "s2", "x": None, "y": None, "lost": "s2"}
+
+
+def test_nested_walks_have_no_depth_limit(spark):
+    from provatab.operators.contract import contract_nodes
+    from provatab.operators.selection import walk_json
+
+    deep = 34
+    payload = '{"k": [' * deep + "1" + "]}" * deep
+    rows = walk_json(spark.createDataFrame([("a", payload), ("b", "7"), ("c", None)], "id string, j string"), "j").collect()
+    assert sorted(len(r.path) for r in rows) == sorted(len("$" + ".k[0]" * n) for n in range(deep)) and {r.id for r in rows} == {"a"}
+    contract = '{"schema_saida": ' + '{"k": ' * deep + '"string"' + "}" * deep + "}"
+    nodes = contract_nodes(spark.createDataFrame([("d", "v1", contract)], "domain string, version string, contract string")).collect()
+    assert sorted(r.path.count(".") for r in nodes) == list(range(deep))
