@@ -25,8 +25,9 @@ from provatab.cluster import broadcast_if_small
 from provatab.llm.common import bytes_of, slices, written
 from provatab.llm.suffixes import common_prefixes, suffix_array
 
-# Bytes of a gram; text bytes scanned at once; bytes of a shard; windows a piece stands for after each cut.
-GRAM, SCAN_BYTES, SHARD_BYTES, CUTS = 64, 1 << 20, 1 << 18, (32, 8, 1)
+# Bytes of a gram; text bytes scanned at once; bytes of a group beyond which it is cut (shards are a quarter of that on
+# average, where array sorts are cheapest); windows a piece stands for after each cut.
+GRAM, SCAN_BYTES, SHARD_BYTES, CUTS = 64, 1 << 20, 1 << 20, (32, 8, 1)
 # Repeated anchors (a long each) up to which they are sent to the tasks that look for them.
 SENT_ANCHORS = 2_000_000
 # Odd multipliers that spread numbers over 64 bits, and the inverse of the first.
@@ -204,7 +205,7 @@ def repeated_windows(found: DataFrame, length: int, shard_bytes: int = SHARD_BYT
 
 def _in_shards(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     size = distinct.agg(F.sum(F.octet_length("seg").cast("long"))).first()[0] or 0
-    shards = int(size // shard_bytes) + 1
+    shards = int(4 * size // shard_bytes) + 1
 
     def work(table: pa.Table) -> pa.Table:
         segs = [s or b"" for s in table.column("seg").to_pylist()]
