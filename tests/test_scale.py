@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from provatab import cluster
+from provatab.operators import evidence as ev
 from provatab.plans import q_resolve, views
+from provatab.plans.all_queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -20,3 +22,38 @@ def test_rows_made_of_few_keys_are_dealt_out(spark, monkeypatch):
     headers = views.period_headers(spark, SF)
     assert headers.count() == 29 * views.period_tables(spark, SF).count()
     assert largest_partition(headers) <= 4 * 1000
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_crowded_pages_give_the_sections_of_others(spark, monkeypatch):
+    items = views.items(spark, "/root/testdata/sf0.001")
+    items = items.withColumn("page_number", F.when(F.col("page_number") % 5 != 0, F.col("page_number")))
+    sections = ev.build_sections(items)
+    for kwargs in ({}, {"by_order": False}, {"closest_above": True}):
+        got = []
+        for most in (64, 1, 0):
+            monkeypatch.setattr(ev, "PAGE_SECTIONS", most)
+            got.append(rows(ev.nearest_section(items, sections, **kwargs).select("document_id", "order_index", "section_id")))
+        assert got[0] == got[1] == got[2]
+
+
+def test_repeated_metrics_keep_their_first_row(spark):
+    none = F.lit(None)
+    items = spark.createDataFrame([("d", 0, "VENDAS", 1), ("d", 1, "Vendas 7", 1), ("d", 1, "Vendas 7", 1), ("e", 3, "Vendas 8", 1)], "document_id string, order_index int, text string, level int")
+    items = items.select(
+        "*", F.lit("text").alias("label"), F.lit(1).alias("page_number"), none.cast("struct<page_number:int,left:double,top:double,right:double,bottom:double,coord_origin:string>").alias("bbox"),
+        none.cast("string").alias("self_ref"), none.cast("string").alias("parent_ref"), F.expr("cast(array() as array<string>)").alias("child_refs"),
+    )
+    found = ev.extract_metrics(items, ev.build_sections(items))
+    assert rows(found.select("document_id", "order_index", "label_raw", "value_numeric", "section_title")) == rows(
+        spark.createDataFrame([("d", 1, "Vendas", 7.0, "Vendas 7"), ("e", 3, "Vendas", 8.0, "Vendas 8")], "document_id string, order_index int, label_raw string, value_numeric double, section_title string")
+    )
+
+
+def test_report_items_number_the_lines_of_orders_once(spark):
+    """Metrics read items that are made once; before, the orders were numbered again for titles, values and sections."""
+    plan = QUERIES["d11_metrics"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert "l_orderkey" not in plan and "lineitem" not in plan
