@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from provatab.cluster import dealt
+from provatab.cluster import checkpointed, dealt
 
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 
@@ -161,7 +161,8 @@ def period_amounts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def period_cells(spark: SparkSession, sf: str) -> DataFrame:
-    amounts = period_amounts(spark, sf)
+    # A cell stands for thousands of lines and is read several times: added up once.
+    amounts = checkpointed(period_amounts(spark, sf))
     label = F.when(F.col("row_index") == 0, LABELS["A"]).when(F.col("row_index") == 1, LABELS["N"]).when(F.col("row_index") == 2, LABELS["R"]).otherwise(TOTAL)
     labels = amounts.select("document_id", "table_id", "row_index").distinct().select(
         "document_id", "table_id", "row_index", F.lit(0).alias("column_index"), label.alias("value_raw")
