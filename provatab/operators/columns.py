@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from provatab.cluster import ordinals
 from provatab.functions import numbers, paths, periods, text
 
 
@@ -38,6 +39,17 @@ def normalize_labels(df: DataFrame, col: str, mode: str = "text", out: str = "ke
     return df.withColumn(out, rule(F.col(col)))
 
 
+def unique_name_rows(names: DataFrame, keys: Sequence[str], order: str, name: str, out: str = "name") -> DataFrame:
+    """N10 for names in rows, however many a key has: ``column_index`` by ``order`` and the name made unique, as
+    ``text.unique_names`` does within one array."""
+    placed = ordinals(names.select(*keys, order, name), keys, order, "_at")
+    clean = text.normalize_space(F.col(name))
+    slug = text.slugify(F.when(clean == "", F.concat(F.lit("column_"), F.col("_at").cast("string"))).otherwise(clean))
+    nth = ordinals(placed.withColumn("_slug", slug), [*keys, "_slug"], "_at", "_nth")
+    full = F.when(F.col("_nth") > 1, F.concat("_slug", F.lit("_"), F.col("_nth").cast("string"))).otherwise(F.col("_slug"))
+    return nth.select(*keys, (F.col("_at") - 1).cast("int").alias("column_index"), full.alias(out))
+
+
 def with_stable_id(df: DataFrame, parts: Sequence[Column | str], out: str = "id") -> DataFrame:
     """Deterministic id of a row from its identifying parts."""
     return df.withColumn(out, text.stable_id(*[F.col(p) if isinstance(p, str) else p for p in parts]))

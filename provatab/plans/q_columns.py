@@ -93,8 +93,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     p = v.table(spark, sf, "part")
-    headers = p.groupBy("p_brand").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_type"))), lambda s: s["p_type"]).alias("names"))
-    return headers.select("p_brand", F.posexplode(text.unique_names(F.col("names"))).alias("column_index", "name"))
+    return col.unique_name_rows(p, ["p_brand"], "p_partkey", "p_type")
 
 
 @query("n11_stable_ids")

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from provatab import cluster
+from provatab.functions import text
+from provatab.operators import columns
 from provatab.operators import evidence as ev
 from provatab.plans import q_resolve, views
 from provatab.plans.all_queries import QUERIES
@@ -57,3 +59,25 @@ def test_report_items_number_the_lines_of_orders_once(spark):
     """Metrics read items that are made once; before, the orders were numbered again for titles, values and sections."""
     plan = QUERIES["d11_metrics"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
     assert "l_orderkey" not in plan and "lineitem" not in plan
+
+
+def test_names_in_rows_are_numbered_as_in_arrays(spark):
+    names = ["Total", "", "total", None, "Ano 1", "TOTAL", "ano_1", "column_2"] * 5
+    listed = spark.createDataFrame([("k", names), ("l", names[3:])], "k string, names array<string>")
+    want = listed.select("k", F.posexplode(text.unique_names(F.col("names"))).alias("column_index", "name"))
+    placed = listed.select("k", F.posexplode("names").alias("at", "n")).withColumn("at", F.col("at") * 70_000)
+    assert rows(columns.unique_name_rows(placed, ["k"], "at", "n")) == rows(want)
+
+
+def test_no_name_meets_an_array_of_all_names(spark):
+    plan = QUERIES["n10_unique_names"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+
+
+def test_scans_are_the_same_in_one_chunk_and_in_many(spark):
+    df = spark.range(60).select((F.col("id") % 4).alias("k"), F.col("id").alias("at"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
+    for current in (False, True):
+        got = [rows(cluster.last_before(df, ["k"], "at", {"v": F.col("v")}, include_current=current, chunk=c)) for c in (1000, 5)]
+        assert got[0] == got[1]
+    got = [rows(cluster.neighbours(df, ["k"], "at", ["at", "v"], prev="p", next="n", chunk=c)) for c in (1000, 5)]
+    assert got[0] == got[1]
