@@ -66,11 +66,14 @@ def chart_points(cells: DataFrame, headers: DataFrame, charts: DataFrame) -> Dat
     ``charts`` has ``chart_type`` and ``chart_title``. A line chart that is no valid series keeps
     its points under a snapshot title, without a category.
     """
-    good = valid_line_charts(cells).select(*TABLE, F.lit(True).alias("_ok"))
+    # Only line charts are held against the rule for series.
+    lines = charts.where(F.lower("chart_type").contains("line")).select(*TABLE)
+    good = valid_line_charts(cells.join(lines, TABLE, "left_semi")).select(*TABLE, F.lit(True).alias("_ok"))
     category = headers.where("column_index = 1").select(*TABLE, tx.normalize_space(F.col("header")).alias("_category"))
     used = charts.join(good, TABLE, "left").join(category, TABLE, "left")
     width = cells.groupBy(*TABLE).agg(F.max("column_index").alias("_w"))
-    placed = cells.join(used.join(width, TABLE), TABLE)
+    # Merged, since sent out whole the cells would all meet the few bytes of the charts in one task.
+    placed = cells.hint("merge").join(used.join(width, TABLE), TABLE)
     number = numbers.number_of(F.col("value_raw"), column=F.coalesce("_category", F.lit("")), published=False)
     valued = placed.withColumn(
         "_n", F.when((F.col("column_index") > 0) | (F.col("_w") == 0), number)
