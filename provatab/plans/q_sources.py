@@ -33,7 +33,7 @@ def _(spark, sf):
     value = F.concat(F.lit("\n\t"), own, F.lit(" \n"))
     for k, text in bad.items():
         value = F.when(F.col("page_id") % 10 == k, text).otherwise(value)
-    v.table(spark, sf, "pages").select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    v.spread(v.table(spark, sf, "pages")).select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
     return readers.read_artifacts(spark, folder, "page_id bigint, url string, html string").drop("source_key")
 
 
