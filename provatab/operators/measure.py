@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from provatab.cluster import broadcast_if_small, exact_quantile, first_per_key
+from provatab.cluster import broadcast_if_small, checkpointed, exact_quantile, first_per_key
 from provatab.functions import paths
 from provatab.functions import text as tx
 from provatab.operators.contract import CONTRACT, key_filters, match_targets
@@ -232,6 +232,8 @@ def structure_metrics(mappings: DataFrame, nodes: DataFrame, keys: DataFrame, re
 
 def target_metrics(targets: DataFrame, mappings: DataFrame) -> DataFrame:
     """E5: coverage of the expected keys, keys outside them, context beside values, identity filters."""
+    # Each is read by several sides below.
+    targets, mappings = checkpointed(targets), checkpointed(mappings)
     matched, unexpected, missing = match_targets(targets, mappings)
     required = targets.where("required").groupBy("document_id").agg(F.count(F.lit(1)).alias("_req"))
     gone = missing.groupBy("document_id").agg(F.count(F.lit(1)).alias("_gone"))

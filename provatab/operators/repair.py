@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provatab.cluster import CHUNK, broadcast_if_small, running_totals
+from provatab.cluster import CHUNK, broadcast_if_small, checkpointed, running_totals
 from provatab.functions import paths, periods
 from provatab.functions import text as tx
 from provatab.operators.contract import CONTRACT, key_filters, match_targets
@@ -338,7 +338,10 @@ def check_candidates(
     ``mappings`` are the proposed mappings with the columns of ``resolve``.
     """
     by = [c for c in CONTRACT if c in mappings.columns]
-    keyed = key_filters(mappings)
+    # Every rule reads them: paths are taken apart and targets made once.
+    mappings = checkpointed(mappings)
+    keyed = checkpointed(key_filters(mappings))
+    targets = None if targets is None else checkpointed(targets)
     known = broadcast_if_small(nodes.select(*by, "path").distinct())
     literal = broadcast_if_small(nodes.where("literal is not null").select(*by, "path"))
     arrays = broadcast_if_small(nodes.where("is_array").select(*by, F.col("path").alias("array_path")))

@@ -7,6 +7,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from provatab.cluster import dealt
 from provatab.operators import contract as ct
 from provatab.plans import views as v
 from provatab.plans.registry import query
@@ -164,7 +165,7 @@ def _(spark, sf):
 
 def targets(spark, sf):
     f = ct.flatten_contracts(contracts(spark, sf))
-    return ct.enumerate_targets(f["paths"], f["requirements"], f["keys"], f["derivations"], identities(spark, sf))
+    return ct.enumerate_targets(f["paths"], f["requirements"], f["keys"], f["derivations"], dealt(identities(spark, sf), len(PATHS)))
 
 
 TARGETS = f"""{NEWEST}, rl as (select unnest({list(ROLES)!r}) as role, unnest([true, false, false]) as required), gg as (select unnest(['vendas', 'lancamentos']) as g), lf as (select unnest(['valor', 'periodo']) as leaf, unnest(['valor', 'contexto']) as target_role),
@@ -180,7 +181,7 @@ def _(spark, sf):
 def proposed(spark, sf):
     """Proposed mapping keys: every customer maps its reference values; some also foreign or
     unknown keys, and only every third the second group."""
-    ids = identities(spark, sf).select("document_id", F.col("identity")["entidade"].alias("e"))
+    ids = dealt(identities(spark, sf).select("document_id", F.col("identity")["entidade"].alias("e")), len(PATHS))
     n = F.col("document_id").cast("bigint")
 
     def key(group, role, leaf, entity=None):

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from provatab import cluster
 from provatab.functions import text
 from provatab.operators import columns
+from provatab.operators import contract as ct
 from provatab.operators import evidence as ev
-from provatab.plans import q_resolve, views
+from provatab.operators import series as sr
+from provatab.plans import q_contract, q_resolve, q_sources, views
 from provatab.plans.all_queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -81,3 +83,27 @@ def test_scans_are_the_same_in_one_chunk_and_in_many(spark):
         assert got[0] == got[1]
     got = [rows(cluster.neighbours(df, ["k"], "at", ["at", "v"], prev="p", next="n", chunk=c)) for c in (1000, 5)]
     assert got[0] == got[1]
+
+
+def test_proposed_keys_are_dealt_out_and_paths_parsed_once(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "MADE_ROWS", 1000)
+    made = q_contract.proposed(spark, SF)
+    assert made.count() > 4000 and largest_partition(made) <= 1000
+    plan = ct.key_filters(made).select("key_filters")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_bar_charts_are_not_held_against_the_rule_for_series(spark):
+    """Nor are their cells sent out whole to the few bytes of the charts."""
+    cells = spark.range(100).selectExpr("string(id % 9) as document_id", "'t' as table_id", "int(id) as row_index", "1 as column_index", "'5' as value_raw")
+    charts = cells.select("document_id", "table_id").distinct().withColumns({"chart_type": F.lit("bar_chart"), "chart_title": F.lit("c")})
+    headers = charts.select("document_id", "table_id", F.lit(1).alias("column_index"), F.lit("h").alias("header"))
+    out = sr.chart_points(cells, headers, charts)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 100 and "to_json" not in plan and "strategy=merge" in plan
+
+
+def test_pages_are_written_by_all_cores(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(q_sources, "_shared_folder", lambda spark: str(tmp_path))
+    assert QUERIES["s1_json_artifacts"](spark, SF).count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+    assert len({f.name.split("-")[1] for f in (tmp_path / "pages").glob("part-*")}) > 2
