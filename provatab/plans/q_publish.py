@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from provatab.cluster import clustered
 from provatab.operators import publish as pb
 from provatab.plans import views as v
 from provatab.plans.registry import query
@@ -10,8 +11,8 @@ from provatab.plans.registry import query
 def _bulletins(spark, sf):
     """A bulletin per order: each list of it holds the lines of the order."""
     l = v.table(spark, sf, "lineitem")
-    # The lines of one order, a handful.
-    lines = l.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_shipdate", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")).alias("x"))
+    # The lines of one order, a handful. They stay where their order is for all that is grouped by it later.
+    lines = clustered(l.withColumn("document_id", F.col("l_orderkey").cast("string")), "document_id").groupBy("document_id").agg(F.collect_list(F.struct("l_shipdate", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")).alias("x"))
 
     def items(**fields):
         return F.transform("x", lambda r: F.struct(*[f(r).alias(n) for n, f in fields.items()]))
@@ -19,7 +20,7 @@ def _bulletins(spark, sf):
     year, month = (lambda r: F.year(r["l_shipdate"])), (lambda r: F.month(r["l_shipdate"]))
     q, p = (lambda r: r["l_quantity"]), (lambda r: r["l_extendedprice"])
     return lines.select(
-        F.lit("2026-01").alias("competencia_referencia"), F.col("l_orderkey").cast("string").alias("document_id"), F.lit("e").alias("execution_id"), F.lit("k").alias("source_object_key"),
+        F.lit("2026-01").alias("competencia_referencia"), "document_id", F.lit("e").alias("execution_id"), F.lit("k").alias("source_object_key"),
         F.struct(
             items(ano=year, mes=month, unidades_financiadas=q, volume_financiado_milhoes=p).alias("serie_mensal_sbpe"), items(ano=year, unidades_financiadas=q, volume_financiado_milhoes=p).alias("serie_historica_anual"),
             items(modalidade=lambda r: r["l_returnflag"], instituicao_financeira=lambda r: r["l_linestatus"], volume_mensal_milhoes=p, unidades_mensais=q, volume_acumulado_ano_milhoes=p, unidades_acumuladas_ano=q).alias("por_modalidade_e_instituicao"),

@@ -107,3 +107,12 @@ def test_pages_are_written_by_all_cores(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(q_sources, "_shared_folder", lambda spark: str(tmp_path))
     assert QUERIES["s1_json_artifacts"](spark, SF).count() == spark.read.parquet(f"{SF}/pages.parquet").count()
     assert len({f.name.split("-")[1] for f in (tmp_path / "pages").glob("part-*")}) > 2
+
+
+def test_lists_of_bulletins_are_shuffled_once_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "KEYED_ROWS", 1000)
+    df = QUERIES["x1_bulletin_tables"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ENSURE_REQUIREMENTS" not in plan and "REPARTITION_BY_NUM" in plan
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey")
+    assert largest_partition(cluster.clustered(lines, "l_orderkey")) <= 2 * 1000
