@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,15 +111,25 @@ def export_preflight(rows: DataFrame, audit: DataFrame, runs: DataFrame) -> Data
 
     key = ["document_id", "operation", "periodo", "valor"]
     usable = audit.where("valor is not null and coalesce(periodo, '') <> ''")
-    bare = usable.where("page_number is null or not has_bbox")
-    proven = usable.where("page_number is not null and has_bbox").select(*key).distinct()
-    shown = rows.select(*key).distinct()
-    unproven = shown.where("periodo is not null and valor is not null").join(proven, key, "left_anti").unionByName(shown.where("periodo is null or valor is null"))
+    has_place = F.col("page_number").isNotNull() & F.col("has_bbox")
+    # Values and their evidence meet in one group per value: what is shown, proven, and printed without a place.
+    no = F.lit(False)
+    marked = rows.select(*key, F.lit(True).alias("_shown"), no.alias("_proven"), no.alias("_bare")).unionByName(
+        usable.select(*key, no.alias("_shown"), has_place.alias("_proven"), (~has_place).alias("_bare"))
+    )
+    # A value that lacks a part of its key is never proven.
+    whole = reduce(and_, [F.col(k).isNotNull() for k in key])
+    found = marked.groupBy(*key).agg(*[F.bool_or(c).alias(c) for c in ("_shown", "_proven", "_bare")])
+    named = F.array_compact(
+        F.array(
+            F.when(F.col("_bare"), F.lit("evidence_without_place")),
+            F.when(F.col("_shown") & ~(whole & F.coalesce("_proven", no)), F.lit("value_without_evidence")),
+        )
+    )
     what = F.concat_ws("/", "operation", "periodo", F.col("valor").cast("string"))
     out = problem(runs.where("status <> 'compativel' or failed > 0"), "not_compatible", F.col("status"))
     out = out.unionByName(problem(runs.where("coalesce(source_uri, '') = ''"), "source_missing", F.lit(None)))
-    out = out.unionByName(problem(bare.select(*key).distinct(), "evidence_without_place", what))
-    return out.unionByName(problem(unproven, "value_without_evidence", what))
+    return out.unionByName(found.select("document_id", F.explode(named).alias("problem"), what.alias("detail")))
 
 
 def manifest_of(resolutions: DataFrame, manifests: DataFrame) -> DataFrame:

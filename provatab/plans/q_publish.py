@@ -93,8 +93,11 @@ def _(spark, sf):
 )
 def _(spark, sf):
     l = v.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("document_id"), F.col("l_linestatus").alias("operation"), F.col("l_returnflag").alias("periodo"), F.col("l_quantity").alias("valor"), "l_linenumber")
-    audit = l.select("*", F.when(F.col("l_linenumber") != 3, 1).alias("page_number"), F.lit(True).alias("has_bbox"))
     runs = v.runs(spark, sf).select("document_id", F.when(F.col("run_status") == "P", "incompativel").otherwise("compativel").alias("status"), F.lit(0).alias("failed"), F.when(F.col("seq") % 50 != 0, "s3").alias("source_uri"))
+    # Lines and runs of an order lie together for all groups below.
+    n = l.count()
+    l, runs = clustered(l, "document_id", rows=n), clustered(runs, "document_id", rows=n)
+    audit = l.select("*", F.when(F.col("l_linenumber") != 3, 1).alias("page_number"), F.lit(True).alias("has_bbox"))
     out = pb.export_preflight(l, audit, runs)
     return out.groupBy("document_id", "problem").agg(F.count(F.lit(1)).alias("n"))
 

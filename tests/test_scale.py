@@ -7,6 +7,7 @@ from provatab.functions import text
 from provatab.operators import columns
 from provatab.operators import contract as ct
 from provatab.operators import evidence as ev
+from provatab.operators import publish as pb
 from provatab.operators import series as sr
 from provatab.plans import q_contract, q_resolve, q_sources, views
 from provatab.plans.all_queries import QUERIES
@@ -116,3 +117,17 @@ def test_lists_of_bulletins_are_shuffled_once_by_rows(spark, monkeypatch):
     assert "ENSURE_REQUIREMENTS" not in plan and "REPARTITION_BY_NUM" in plan
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey")
     assert largest_partition(cluster.clustered(lines, "l_orderkey")) <= 2 * 1000
+
+
+def test_values_and_evidence_meet_in_one_group(spark):
+    """Nor does any group of the query shuffle narrow rows again; a value with a null in its key is never proven."""
+    plan = QUERIES["x4_export_preflight"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "ENSURE_REQUIREMENTS" not in plan
+    listed = [("d", "F", "1T24", 1.0), ("d", "F", "1T24", 1.0), ("d", None, "1T24", 2.0), ("d", "F", None, 3.0), ("d", "F", "2T24", 4.0), ("d", "F", "3T24", 5.0)]
+    values = spark.createDataFrame(listed, "document_id string, operation string, periodo string, valor double")
+    page = F.when(F.col("valor") != 4, 1)
+    audit = values.select("*", page.alias("page_number"), F.when(F.col("valor") != 5, True).alias("has_bbox"))
+    runs = spark.createDataFrame([("d", "compativel", 0, "s3")], "document_id string, status string, failed int, source_uri string")
+    got = sorted((r.problem, r.detail) for r in pb.export_preflight(values, audit, runs).collect())
+    without = [("value_without_evidence", x) for x in ("1T24/2.0", "F/2T24/4.0", "F/3.0", "F/3T24/5.0")]
+    assert got == [("evidence_without_place", "F/2T24/4.0"), *without]
