@@ -168,9 +168,20 @@ def _lined_up(low: Column, high: Column, left: Column, right: Column) -> Column:
     return F.coalesce(close, F.lit(True))
 
 
+def _cut_early(here: Column, before: Column) -> Column:
+    """True where two neighbours have different headers and both are plain.
+
+    Only a fragment whose columns are generic or data may change the header of a table, or stand between two that have
+    the same. Every other change parts them in any run, so it is cut ahead and not in a round of its own.
+    """
+    plain = ~(here["_generic"] | here["_data"] | before["_generic"] | before["_data"])
+    return plain & (here["_print"] != before["_print"])
+
+
 def _fragment_facts(tables: DataFrame, sections: DataFrame, chunk: int) -> DataFrame:
     """A record per fragment, with ``cut`` where nothing can join it to the one before: another width, a page
-    missed, or a heading between them on their page."""
+    missed, a heading between them on their page, or another header where neither says that rows may have been read as
+    columns."""
     clean = tables.withColumns({"header": _clean(F.col("header")), "first_row": _clean(F.col("first_row")), "order_index": F.col("order_index").cast("long")})
     heads = sections.select("document_id", F.col("order_index").cast("long").alias("order_index"), "page_number", F.lit(True).alias("_head"))
     both = clean.select("document_id", "order_index", "page_number", F.lit(False).alias("_head")).unionByName(heads)
@@ -178,15 +189,27 @@ def _fragment_facts(tables: DataFrame, sections: DataFrame, chunk: int) -> DataF
         both, ["document_id"], "order_index", {"_heading": F.when(F.col("_head"), F.struct("order_index", "page_number"))}, chunk=chunk
     ).where("not _head")
     placed = clean.join(headed.select("document_id", "order_index", "_heading"), ["document_id", "order_index"])
-    around = neighbours(placed.withColumn("_width", F.size("header")), ["document_id"], "order_index", ["order_index", "page_number", "_width"], prev="_p", chunk=chunk)
+    told = placed.withColumns(
+        {
+            "_width": F.size("header"),
+            "_print": F.xxhash64("header"),
+            "_generic": columns_are_generic(F.col("header")),
+            "_data": header_is_data(F.col("header")),
+        }
+    )
+    around = neighbours(
+        told, ["document_id"], "order_index", ["order_index", "page_number", "_width", "_print", "_generic", "_data"], prev="_p", chunk=chunk
+    )
+    fact = ("_print", "_generic", "_data")
+    renamed = _cut_early(F.struct(*fact), F.struct(*[F.col(f"_p.{c}").alias(c) for c in fact]))
     step = F.col("page_number") - F.col("_p.page_number")
     parted = (step == 0) & (F.col("_heading.page_number") == F.col("page_number")) & (F.col("_heading.order_index") > F.col("_p.order_index"))
-    joined = (F.col("_p._width") == F.col("_width")) & F.coalesce(step.between(0, 1), F.lit(True)) & ~F.coalesce(parted, F.lit(False))
+    joined = (F.col("_p._width") == F.col("_width")) & F.coalesce(step.between(0, 1), F.lit(True)) & ~F.coalesce(parted | renamed, F.lit(False))
     edges = F.when(F.col("bbox").isNotNull(), F.struct(F.col("bbox.page_number").alias("page"), F.col("bbox.left").alias("low"), F.col("bbox.right").alias("high")))
     return around.select(
         "document_id", "order_index", "header", "first_row", F.col("row_count").cast("long").alias("row_count"), edges.alias("edges"),
         F.when(F.col("section_id").isNotNull(), F.struct("section_id", "section_slug")).alias("section"),
-        columns_are_generic(F.col("header")).alias("generic"), looks_like_header(F.col("header")).alias("is_header"), header_is_data(F.col("header")).alias("is_data"),
+        F.col("_generic").alias("generic"), looks_like_header(F.col("header")).alias("is_header"), F.col("_data").alias("is_data"),
         (~F.coalesce(joined, F.lit(False))).alias("cut"),
     )
 

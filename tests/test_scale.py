@@ -9,6 +9,7 @@ from provatab.operators import contract as ct
 from provatab.operators import evidence as ev
 from provatab.operators import publish as pb
 from provatab.operators import series as sr
+from provatab.operators import tables as tb
 from provatab.plans import q_contract, q_resolve, q_sources, views
 from provatab.plans.all_queries import QUERIES
 
@@ -131,3 +132,24 @@ def test_values_and_evidence_meet_in_one_group(spark):
     got = sorted((r.problem, r.detail) for r in pb.export_preflight(values, audit, runs).collect())
     without = [("value_without_evidence", x) for x in ("1T24/2.0", "F/2T24/4.0", "F/3.0", "F/3T24/5.0")]
     assert got == [("evidence_without_place", "F/2T24/4.0"), *without]
+
+
+def test_other_plain_headers_are_cut_at_once(spark, monkeypatch):
+    """A run of tables with a header each takes one round; a data header between two equal ones still joins them."""
+    written = []
+    monkeypatch.setattr(tb, "checkpointed", lambda df: written.append(1) or cluster.checkpointed(df))
+    names = [["Item", f"Ano {i // 2}", "Valor"] for i in range(12)]
+    names[5] = ["VGV", "123456", "77777"]
+    names[4] = names[6] = names[3]
+    none = F.lit(None)
+    tables = spark.createDataFrame([("d", i, i, n, 0 if i == 4 else 2) for i, n in enumerate(names)], "document_id string, order_index int, page_number int, header array<string>, row_count int").select(
+        "*", none.cast("array<string>").alias("first_row"), none.cast("string").alias("section_id"), none.cast("string").alias("section_slug"),
+        none.cast("struct<page_number:int,left:double,top:double,right:double,bottom:double,coord_origin:string>").alias("bbox"),
+    )
+    heads = spark.createDataFrame([], "document_id string, order_index int, page_number int")
+    got = {r.order_index: r.merged_order for r in tb.merge_plan(tables, heads).collect()}
+    rounds = len(written)
+    monkeypatch.setattr(tb, "_cut_early", lambda here, before: F.lit(False))
+    assert got == {r.order_index: r.merged_order for r in tb.merge_plan(tables, heads).collect()}
+    # Two writes, and two more for each round: the data header takes two rounds, and the others none.
+    assert rounds <= 6 < len(written) - rounds
