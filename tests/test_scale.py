@@ -153,3 +153,12 @@ def test_other_plain_headers_are_cut_at_once(spark, monkeypatch):
     assert got == {r.order_index: r.merged_order for r in tb.merge_plan(tables, heads).collect()}
     # Two writes, and two more for each round: the data header takes two rounds, and the others none.
     assert rounds <= 6 < len(written) - rounds
+
+
+def test_rounds_of_candidates_carry_no_texts(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(ev, "checkpointed", lambda df: written.append(df.columns) or cluster.checkpointed(df))
+    texts = ["Vendas de 12 mil unidades no trimestre que passou agora"] * 6 + ["Texto sem valor algum que passa de quarenta letras aqui"] * 3
+    blocks = spark.createDataFrame([("d", f"b{i}", i, 1, "s", "t", x, "paragraph") for i, x in enumerate(texts * 2)], "document_id string, block_id string, order_index int, page_number int, section_id string, section_title string, text string, role_hint string")
+    assert ev.text_candidates(blocks).count() > 0
+    assert sum("context_text" in columns for columns in written) == 1 < len(written)
