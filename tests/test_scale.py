@@ -1,5 +1,7 @@
 """Work is dealt out by the rows it makes, and large groups meet no single task or array."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from provatab import cluster
@@ -162,3 +164,35 @@ def test_rounds_of_candidates_carry_no_texts(spark, monkeypatch):
     blocks = spark.createDataFrame([("d", f"b{i}", i, 1, "s", "t", x, "paragraph") for i, x in enumerate(texts * 2)], "document_id string, block_id string, order_index int, page_number int, section_id string, section_title string, text string, role_hint string")
     assert ev.text_candidates(blocks).count() > 0
     assert sum("context_text" in columns for columns in written) == 1 < len(written)
+
+
+def plans_kept(monkeypatch):
+    """Optimized plans of what ``evidence`` keeps as tables, as text."""
+    kept, keep = [], ev.checkpointed
+
+    def noted(df):
+        kept.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df)
+
+    monkeypatch.setattr(ev, "checkpointed", noted)
+    return kept
+
+
+def test_titles_and_roles_are_worked_out_once(spark, monkeypatch):
+    items = views.items(spark, "/root/testdata/sf0.001")
+    kept = plans_kept(monkeypatch)
+    ev.build_blocks(items, ev.build_sections(items))
+    sections, blocks = kept[:2]
+    assert sections.count("translate(") == 1
+    assert blocks.count("regexp_replace(coalesce(") + blocks.count("regexp_replace(text") == 1
+
+
+def test_fast_patterns_give_the_plain_rules(spark):
+    texts = ["", " ", "  ", " a", "a  b", "a\tb", "a \t b ", " é x", "x  y", "é ü  ö", "A - B/C", "--a!!_b__", "!", "a ! b", "«Ação» (1,5%)", "日本 語", "_", "a\nb\r\nc", "~ ! ~"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.normalize_space(F.col("t")), text.slugify(F.col("t"))).collect()
+
+    def slug(t):
+        folded = t.strip(" ").lower().translate(str.maketrans(text.SLUG_FROM, text.SLUG_TO))
+        return re.sub("_+", "_", re.sub("[^a-z0-9_]+", "", folded)).strip("_") or "untitled"
+
+    assert [tuple(r) for r in got] == [(t, re.sub(text.SPACE + "+", " ", t).strip(" "), slug(t)) for t in texts]
