@@ -196,3 +196,14 @@ def test_fast_patterns_give_the_plain_rules(spark):
         return re.sub("_+", "_", re.sub("[^a-z0-9_]+", "", folded)).strip("_") or "untitled"
 
     assert [tuple(r) for r in got] == [(t, re.sub(text.SPACE + "+", " ", t).strip(" "), slug(t)) for t in texts]
+
+
+def test_titles_do_not_travel_where_only_ids_are_asked(spark):
+    items = views.items(spark, "/root/testdata/sf0.001")
+    sections = ev.build_sections(items)
+    for place in (ev.attach_section, ev.nearest_section):
+        slim = place(items, sections, titles=False)
+        assert rows(slim) == rows(place(items, sections).select(*slim.columns))
+    for name in ("d3_nearest_section", "d3_closest_above", "d4_attached_section"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "struct(id" in plan and "title, title_raw" not in plan
