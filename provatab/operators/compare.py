@@ -36,8 +36,9 @@ def _with_print(tables: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _row_sets(rows: DataFrame, free: DataFrame) -> DataFrame:
-    kept = rows.join(free.select("document_id", "table_id"), ["document_id", "table_id"], "left_semi")
-    return kept.select("document_id", "table_id", F.sha2(F.to_json("cells"), 256).alias("row_hash")).distinct()
+    # Hashed ahead of the join, so that no cells are shuffled, and kept: every step of the search reads the hashes.
+    hashed = rows.select("document_id", "table_id", F.unhex(F.sha2(F.to_json("cells"), 256)).alias("row_hash"))
+    return checkpointed(hashed.join(free.select("document_id", "table_id"), ["document_id", "table_id"], "left_semi").distinct())
 
 
 def _edges(old_rows: DataFrame, new_rows: DataFrame) -> DataFrame:
@@ -110,7 +111,8 @@ def pair_tables(old: DataFrame, new: DataFrame, old_rows: DataFrame, new_rows: D
     components of tables that share half of the rows of the smaller one.
     """
     doc = ["document_id"]
-    a, b = _with_print(old, old_rows), _with_print(new, new_rows)
+    # One row per table, read by every step below.
+    a, b = checkpointed(_with_print(old, old_rows)), checkpointed(_with_print(new, new_rows))
     twin = Window.partitionBy(*doc, "print", "header").orderBy("table_id")
     a, b = a.withColumn("_k", F.row_number().over(twin)), b.withColumn("_k", F.row_number().over(twin))
     exact = a.select(*doc, "print", "header", "_k", F.col("table_id").alias("old_id")).join(
@@ -118,6 +120,7 @@ def pair_tables(old: DataFrame, new: DataFrame, old_rows: DataFrame, new_rows: D
     )
     free_a = a.join(exact.select(*doc, F.col("old_id").alias("table_id")), [*doc, "table_id"], "left_anti")
     free_b = b.join(exact.select(*doc, F.col("new_id").alias("table_id")), [*doc, "table_id"], "left_anti")
+    free_a, free_b = checkpointed(free_a), checkpointed(free_b)
     edges = _edges(_row_sets(old_rows, free_a), _row_sets(new_rows, free_b)).select(
         *doc, F.concat(F.lit("a:"), "old_id").alias("a"), F.concat(F.lit("b:"), "new_id").alias("b")
     )

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from provatab import cluster
 from provatab.functions import text
 from provatab.operators import columns
+from provatab.operators import compare as cp
 from provatab.operators import contract as ct
 from provatab.operators import evidence as ev
 from provatab.operators import publish as pb
 from provatab.operators import series as sr
 from provatab.operators import tables as tb
-from provatab.plans import q_contract, q_resolve, q_sources, views
+from provatab.plans import q_compare, q_contract, q_resolve, q_sources, views
 from provatab.plans.all_queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -207,3 +208,19 @@ def test_titles_do_not_travel_where_only_ids_are_asked(spark):
     for name in ("d3_nearest_section", "d3_closest_above", "d4_attached_section"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "struct(id" in plan and "title, title_raw" not in plan
+
+
+def test_rows_of_tables_are_hashed_ahead_of_joins(spark, monkeypatch):
+    """No cells are shuffled to the tables that are still free, and every row set is made once."""
+    old, new, old_rows, new_rows = q_compare.extractions(spark, "/root/testdata/sf0.001")
+    kept, keep = [], cp.checkpointed
+
+    def noted(df):
+        kept.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return keep(df)
+
+    monkeypatch.setattr(cp, "checkpointed", noted)
+    cp.pair_tables(old, new, old_rows, new_rows)
+    sets = [plan for columns, plan in kept if columns == ["document_id", "table_id", "row_hash"]]
+    assert len(sets) == 2
+    assert all(plan.index("LeftSemi") < plan.index("sha2(") for plan in sets)
