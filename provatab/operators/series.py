@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from provatab.cluster import checkpointed
 from provatab.functions import numbers, periods
 from provatab.functions import text as tx
 from provatab.operators.tables import TABLE, TOTAL_LABELS, dimension_column, period_columns, total_row
@@ -152,12 +153,17 @@ def _usable(cells: DataFrame, headers: DataFrame):
     labels = (
         cells.join(dimension, TABLE).where("column_index = dimension").select(*TABLE, "row_index", label.alias("category"))
     )
+    body = labels.where((F.col("category") != "") & ~F.lower("category").isin(*TOTAL_LABELS))
+    return columns, dimension, body, _values(cells, columns)
+
+
+def _values(cells: DataFrame, columns: DataFrame) -> DataFrame:
+    """Typed cells of those columns, with all that ``columns`` says of them."""
     number = numbers.number_of(F.col("value_raw"), column=F.col("header"))
-    values = cells.join(columns, [*TABLE, "column_index"]).select(
-        *TABLE, "row_index", "column_index", "header", "period_key", F.col("value_raw").alias("value_text"), number.alias("value")
+    told = [c for c in columns.columns if c not in (*TABLE, "column_index")]
+    return cells.join(columns, [*TABLE, "column_index"]).select(
+        *TABLE, "row_index", "column_index", *told, F.col("value_raw").alias("value_text"), number.alias("value")
     )
-    body = labels.where((F.col("category") != "") & ~F.lower("category").isin(*TOTAL_LABELS))
-    return columns, dimension, body, values
 
 
 def _total_cells(cells: DataFrame, dimension: DataFrame, values: DataFrame) -> DataFrame:
@@ -205,7 +211,7 @@ def _ranked_columns(columns: DataFrame) -> DataFrame:
 
 def trailing_sum(cells: DataFrame, headers: DataFrame, sections: DataFrame, periods_kept: int = 4) -> DataFrame:
     """Sum of the last four periods up to the one the title names (or the last four)."""
-    columns, _, body, values = _usable(cells, headers)
+    columns, _, body, _ = _usable(cells, headers)
     asked = sections.where("route = 'accumulated'").select(
         "document_id", "section_id", periods.chart_period_key(F.try_element_at("periods", F.lit(-1))).alias("_until")
     )
@@ -214,12 +220,14 @@ def trailing_sum(cells: DataFrame, headers: DataFrame, sections: DataFrame, peri
         F.col("_until").isNull() | (~unknown & (F.col("period_key") <= F.col("_until")))
     )
     back = Window.partitionBy(*TABLE, "section_id").orderBy(F.col("_at").desc())
-    used = eligible.withColumn("_rn", F.row_number().over(back)).where(F.col("_rn") <= periods_kept)
+    # A row per summed column; only their cells are read as numbers and meet their labels.
+    ranked = eligible.withColumn("_rn", F.row_number().over(back)).where(F.col("_rn") <= periods_kept)
+    used = checkpointed(ranked.select(*TABLE, "section_id", "column_index", "header", "_at"))
     names = used.groupBy(*TABLE, "section_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "header"))), lambda s: s["header"]), " + ").alias("series_name")
     )
     summed = (
-        values.join(used.select(*TABLE, "section_id", "column_index"), [*TABLE, "column_index"])
+        _values(cells, used.drop("_at"))
         .join(body, [*TABLE, "row_index"])
         .groupBy(*TABLE, "section_id", "row_index", "category")
         .agg(F.sum("value").alias("value"))

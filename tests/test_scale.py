@@ -224,3 +224,18 @@ def test_rows_of_tables_are_hashed_ahead_of_joins(spark, monkeypatch):
     sets = [plan for columns, plan in kept if columns == ["document_id", "table_id", "row_hash"]]
     assert len(sets) == 2
     assert all(plan.index("LeftSemi") < plan.index("sha2(") for plan in sets)
+
+
+def test_trailing_sum_reads_only_the_cells_it_adds_up(spark, monkeypatch):
+    """Columns of the sum are picked ahead, so that no other cells are read as numbers or meet their labels."""
+    kept, keep = [], sr.checkpointed
+
+    def noted(df):
+        kept.append(keep(df))
+        return kept[-1]
+
+    monkeypatch.setattr(sr, "checkpointed", noted)
+    out = QUERIES["d21_trailing_sum"](spark, SF)
+    assert out.count() > 0
+    (used,) = kept
+    assert used.groupBy("document_id", "table_id", "section_id").count().agg(F.max("count")).first()[0] <= 4
