@@ -13,7 +13,7 @@ from provatab.operators import evidence as ev
 from provatab.operators import publish as pb
 from provatab.operators import series as sr
 from provatab.operators import tables as tb
-from provatab.plans import q_compare, q_contract, q_resolve, q_sources, views
+from provatab.plans import q_compare, q_contract, q_repair, q_resolve, q_sources, views
 from provatab.plans.all_queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -239,3 +239,17 @@ def test_trailing_sum_reads_only_the_cells_it_adds_up(spark, monkeypatch):
     assert out.count() > 0
     (used,) = kept
     assert used.groupBy("document_id", "table_id", "section_id").count().agg(F.max("count")).first()[0] <= 4
+
+
+def unsized_joins(df):
+    """Joins of the optimized plan that Spark may turn into a broadcast by its own estimate."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in plan.splitlines() if re.search(r"\bJoin [A-Z]", line) and "strategy=" not in line]
+
+
+def test_cells_and_headers_are_not_sent_out_by_estimate(spark):
+    """Mappings and headers are exploded from a few keys, so Spark took them for small tables."""
+    for name in ("f8_resolved_cells", "f8p_projected_cells"):
+        assert unsized_joins(QUERIES[name](spark, SF)) == []
+    # Runs meet their counts, which Spark sizes after the shuffle.
+    assert len(unsized_joins(QUERIES["f16_run_summary"](spark, SF))) == 1
