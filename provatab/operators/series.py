@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from provatab.cluster import checkpointed
+from provatab.cluster import checkpointed, shuffled
 from provatab.functions import numbers, periods
 from provatab.functions import text as tx
 from provatab.operators.tables import TABLE, TOTAL_LABELS, dimension_column, period_columns, total_row
@@ -147,11 +147,11 @@ def _usable(cells: DataFrame, headers: DataFrame):
     """Tables with at least two period columns, their label cells and typed period cells."""
     columns = period_columns(headers)
     counted = columns.groupBy(*TABLE).agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2").select(*TABLE)
-    columns = columns.join(counted, TABLE)
-    dimension = dimension_column(cells, headers).join(counted, TABLE)
+    columns = columns.join(shuffled(counted), TABLE)
+    dimension = dimension_column(cells, headers).join(shuffled(counted), TABLE)
     label = tx.normalize_space(F.col("value_raw"))
     labels = (
-        cells.join(dimension, TABLE).where("column_index = dimension").select(*TABLE, "row_index", label.alias("category"))
+        cells.join(shuffled(dimension), TABLE).where("column_index = dimension").select(*TABLE, "row_index", label.alias("category"))
     )
     body = labels.where((F.col("category") != "") & ~F.lower("category").isin(*TOTAL_LABELS))
     return columns, dimension, body, _values(cells, columns)
@@ -161,14 +161,14 @@ def _values(cells: DataFrame, columns: DataFrame) -> DataFrame:
     """Typed cells of those columns, with all that ``columns`` says of them."""
     number = numbers.number_of(F.col("value_raw"), column=F.col("header"))
     told = [c for c in columns.columns if c not in (*TABLE, "column_index")]
-    return cells.join(columns, [*TABLE, "column_index"]).select(
+    return cells.join(shuffled(columns), [*TABLE, "column_index"]).select(
         *TABLE, "row_index", "column_index", *told, F.col("value_raw").alias("value_text"), number.alias("value")
     )
 
 
 def _total_cells(cells: DataFrame, dimension: DataFrame, values: DataFrame) -> DataFrame:
     total = total_row(cells, dimension).withColumnRenamed("total_row", "row_index")
-    return values.join(total, [*TABLE, "row_index"])
+    return values.join(shuffled(total), [*TABLE, "row_index"])
 
 
 _OUT = ["document_id", "table_id", "section_id", "chart_type", "series_name", "category_name", "value", "value_text"]
@@ -190,13 +190,13 @@ def period_comparison(cells: DataFrame, headers: DataFrame, sections: DataFrame)
     asked = sections.where("route = 'comparison'").select(
         "document_id", "section_id", F.posexplode("periods").alias("pos", "header")
     )
-    held = values.select(*TABLE, "header").distinct().join(asked, ["document_id", "header"])
+    held = values.select(*TABLE, "header").distinct().join(shuffled(asked), ["document_id", "header"])
     w = Window.partitionBy(*TABLE, "section_id").orderBy("pos")
     ranked = held.withColumn("_rn", F.row_number().over(w)).withColumn(
         "_n", F.count(F.lit(1)).over(Window.partitionBy(*TABLE, "section_id"))
     )
     two = ranked.where("_rn <= 2 and _n >= 2").select(*TABLE, "section_id", "header")
-    points = values.join(two, [*TABLE, "header"]).join(body, [*TABLE, "row_index"])
+    points = values.join(shuffled(two), [*TABLE, "header"]).join(shuffled(body), [*TABLE, "row_index"])
     return points.where("value is not null or value_text <> ''").select(
         *TABLE, "section_id", F.lit("period_comparison").alias("chart_type"), F.col("header").alias("series_name"),
         F.col("category").alias("category_name"), "value", "value_text",
@@ -216,7 +216,7 @@ def trailing_sum(cells: DataFrame, headers: DataFrame, sections: DataFrame, peri
         "document_id", "section_id", periods.chart_period_key(F.try_element_at("periods", F.lit(-1))).alias("_until")
     )
     unknown = F.col("period_key.year") == 9999
-    eligible = _ranked_columns(columns).join(asked, "document_id").where(
+    eligible = _ranked_columns(columns).join(shuffled(asked), "document_id").where(
         F.col("_until").isNull() | (~unknown & (F.col("period_key") <= F.col("_until")))
     )
     back = Window.partitionBy(*TABLE, "section_id").orderBy(F.col("_at").desc())
@@ -228,12 +228,12 @@ def trailing_sum(cells: DataFrame, headers: DataFrame, sections: DataFrame, peri
     )
     summed = (
         _values(cells, used.drop("_at"))
-        .join(body, [*TABLE, "row_index"])
+        .join(shuffled(body), [*TABLE, "row_index"])
         .groupBy(*TABLE, "section_id", "row_index", "category")
         .agg(F.sum("value").alias("value"))
         .where("value is not null")
     )
-    return summed.join(names, [*TABLE, "section_id"]).select(
+    return summed.join(shuffled(names), [*TABLE, "section_id"]).select(
         *TABLE, "section_id", F.lit("accumulated").alias("chart_type"), "series_name", F.col("category").alias("category_name"), "value",
         _number_text("value").alias("value_text"),
     )
@@ -258,7 +258,7 @@ def annual_totals(cells: DataFrame, headers: DataFrame, sections: DataFrame) ->
     totals = _total_cells(cells, dimension, values).withColumn("year", F.col("period_key.year"))
     summed = totals.groupBy(*TABLE, "year").agg(F.sum("value").alias("value")).where("value is not null")
     asked = sections.where("route = 'annual_total'").select("document_id", "section_id")
-    return summed.join(years, [*TABLE, "year"]).join(enough, TABLE).join(asked, "document_id").select(
+    return summed.join(shuffled(years), [*TABLE, "year"]).join(shuffled(enough), TABLE).join(shuffled(asked), "document_id").select(
         *TABLE, "section_id", F.lit("annual_total").alias("chart_type"), "series_name", F.col("year").cast("string").alias("category_name"),
         "value", _number_text("value").alias("value_text"),
     )

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from provatab.cluster import CHUNK, checkpointed, last_before, neighbours, ordinals, running_totals
+from provatab.cluster import CHUNK, checkpointed, last_before, neighbours, ordinals, running_totals, shuffled
 from provatab.functions import numbers, periods
 from provatab.functions import text as tx
 from provatab.operators.columns import typed_cells
@@ -325,7 +325,7 @@ def merge_fragments(tables: DataFrame, cells: DataFrame, plan: DataFrame) -> tup
 
 def dimension_column(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """First column with fewer numbers than half of its filled cells, else column 0."""
-    typed = typed_cells(cells.where(F.trim("value_raw") != ""), headers)
+    typed = typed_cells(cells.where(F.trim("value_raw") != ""), shuffled(headers))
     per_column = typed.groupBy(*TABLE, "column_index").agg(
         F.count(F.lit(1)).alias("n"), F.count("value_num").alias("n_num")
     )
@@ -343,7 +343,7 @@ def period_columns(headers: DataFrame) -> DataFrame:
 
 def total_row(cells: DataFrame, dimension: DataFrame) -> DataFrame:
     """First row whose label says it is the total."""
-    labels = cells.join(dimension, TABLE).where("column_index = dimension")
+    labels = cells.join(shuffled(dimension), TABLE).where("column_index = dimension")
     label = F.lower(tx.normalize_space(F.col("value_raw")))
     return labels.where(label.isin(*TOTAL_LABELS)).groupBy(*TABLE).agg(F.min("row_index").alias("total_row"))
 

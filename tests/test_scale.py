@@ -253,3 +253,9 @@ def test_cells_and_headers_are_not_sent_out_by_estimate(spark):
         assert unsized_joins(QUERIES[name](spark, SF)) == []
     # Runs meet their counts, which Spark sizes after the shuffle.
     assert len(unsized_joins(QUERIES["f16_run_summary"](spark, SF))) == 1
+
+
+def test_series_do_not_send_out_tables_by_estimate(spark):
+    assert unsized_joins(QUERIES["d19_total_over_time"](spark, SF)) == []
+    # Only documents with native points, read as they are, may be sent out.
+    assert all("LeftAnti" in join for join in unsized_joins(QUERIES["d23_native_first"](spark, SF)))
