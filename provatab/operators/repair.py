@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provatab.cluster import CHUNK, broadcast_if_small, checkpointed, running_totals
+from provatab.cluster import CHUNK, broadcast_if_small, checkpointed, running_totals, shuffled
 from provatab.functions import paths, periods
 from provatab.functions import text as tx
 from provatab.operators.contract import CONTRACT, key_filters, match_targets
@@ -177,7 +177,7 @@ def check_selection(
     def row(df: DataFrame, rule: str, detail: Column) -> DataFrame:
         return df.select("document_id", F.lit(rule).alias("rule"), detail.alias("detail"))
 
-    outside = row(picked.join(inventory, ["document_id", "artifact"], "left_anti"), "outside_inventory", F.col("artifact"))
+    outside = row(picked.join(shuffled(inventory), ["document_id", "artifact"], "left_anti"), "outside_inventory", F.col("artifact"))
     many = picked.groupBy("document_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
     over = row(many, "too_many", F.col("n").cast("string"))
     cover = selection.select("document_id", "artifact", "path", "anchor").where("path is not null")
@@ -190,12 +190,12 @@ def check_selection(
         "not_a_candidate", F.concat_ws(":", "path", "artifact"),
     )
     texts = artifacts.select("document_id", "artifact", tx.normalize_text(F.col("full_text")).alias("_t"))
-    claimed = cover.where("anchor is not null").join(texts, ["document_id", "artifact"], "left")
+    claimed = cover.where("anchor is not null").join(shuffled(texts), ["document_id", "artifact"], "left")
     missing = row(
         claimed.where(~F.coalesce(F.col("_t").contains(tx.normalize_text(F.col("anchor"))), F.lit(False))), "anchor_missing", F.concat_ws(":", "artifact", "anchor")
     )
     wanted = picked.select("document_id").distinct().crossJoin(broadcast_if_small(required.select("path").distinct()))
-    uncovered = row(wanted.join(cover.select("document_id", "path").distinct(), ["document_id", "path"], "left_anti"), "required_uncovered", F.col("path"))
+    uncovered = row(wanted.join(shuffled(cover.select("document_id", "path").distinct()), ["document_id", "path"], "left_anti"), "required_uncovered", F.col("path"))
     return reduce(DataFrame.unionByName, [outside, over, unknown, foreign, missing, uncovered])
 
 

@@ -5,6 +5,7 @@
 
 from pyspark.sql import functions as F
 
+from provatab.cluster import checkpointed, shuffled
 from provatab.operators import contract as ct
 from provatab.operators import repair as rp
 from provatab.operators import tables as tb
@@ -107,7 +108,9 @@ def _(spark, sf):
  union all select cast(k as varchar), 'required_uncovered', 1 from s group by 1 having count(*) filter (where n = 1) = 0""",
 )
 def _(spark, sf):
-    l = v.table(spark, sf, "lineitem").join(v.table(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    # Read many times: lines meet the parts once, and not as a table that is sent out.
+    l = v.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber").join(shuffled(v.table(spark, sf, "part").select("p_partkey", "p_name")), F.col("l_partkey") == F.col("p_partkey"))
+    l = checkpointed(l.drop("p_partkey"))
     doc, art, n = F.col("l_orderkey").cast("string").alias("document_id"), F.col("l_partkey").cast("string").alias("artifact"), F.col("l_linenumber")
     selection = l.select(doc, art, F.when(n == 7, "z").when(n == 1, "req").otherwise("opt").alias("path"), F.when(n == 2, "ausente no texto").otherwise(F.upper(F.substring("p_name", 2, 4))).alias("anchor"))
     inventory = l.where("l_partkey % 10 <> 3").select(doc, art).distinct()

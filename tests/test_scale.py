@@ -259,3 +259,17 @@ def test_series_do_not_send_out_tables_by_estimate(spark):
     assert unsized_joins(QUERIES["d19_total_over_time"](spark, SF)) == []
     # Only documents with native points, read as they are, may be sent out.
     assert all("LeftAnti" in join for join in unsized_joins(QUERIES["d23_native_first"](spark, SF)))
+
+
+def test_parts_are_not_sent_out_to_the_lines(spark, monkeypatch):
+    """Of the parts mostly the keys are used, a small share of the file by Spark's estimate but a row for each part."""
+    kept, keep = [], cluster.checkpointed
+
+    def noted(df):
+        kept.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df)
+
+    monkeypatch.setattr(q_repair, "checkpointed", noted, raising=False)
+    plan = QUERIES["g6_selection_checks"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(kept) == 1 and kept[0].count("strategy=merge") == 1
+    assert "p_partkey" not in plan
