@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provatab.cluster import broadcast_if_small
+from provatab.cluster import broadcast_if_small, shuffled
 from provatab.llm.common import LOWERED, bytes_of, slices, text_key, written
 
 # Fixed value: seed of the shingle hash. Shingles counted at once; fingerprints in a block of a large meeting.
@@ -107,7 +107,7 @@ def links(prints: DataFrame, *, distance: int = 4, block: int = BLOCK) -> DataFr
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
     pairs = sizes.where((F.col("n") == 2) & close).select("a", "b")
     large = sizes.where(F.col("n") > 2).select("bit", "rest", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    met = keyed.join(large, ["bit", "rest"])
+    met = shuffled(keyed).join(large, ["bit", "rest"])
     own = F.pmod(F.xxhash64("fingerprint", F.lit(7)), F.col("blocks")).cast("int")
     dealt = (
         met.withColumn("own", own)

@@ -147,3 +147,10 @@ def test_containment(spark, awkward, empty):
     assert decontamination.contained_items(empty, items).count() == 0
     assert decontamination.contained_items(docs, items.where(F.lit(False))).count() == 0
     assert decontamination.without_leaks(docs, items.where(F.lit(False))).count() == docs.count()
+
+
+def test_variants_are_not_sent_out_by_estimate(spark):
+    """Spark's estimate has not the 64 variants that are made of each fingerprint, so it took them for a small table."""
+    links = simhash.links(spark.range(300).select(F.col("id").alias("fingerprint")))
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=merge") == len(re.findall(r"\bJoin [A-Z]", plan)) == 1
