@@ -13,7 +13,7 @@ from provatab.operators import evidence as ev
 from provatab.operators import publish as pb
 from provatab.operators import series as sr
 from provatab.operators import tables as tb
-from provatab.plans import q_compare, q_contract, q_repair, q_resolve, q_sources, views
+from provatab.plans import q_compare, q_contract, q_evidence, q_repair, q_resolve, q_sources, views
 from provatab.plans.all_queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -273,3 +273,31 @@ def test_parts_are_not_sent_out_to_the_lines(spark, monkeypatch):
     plan = QUERIES["g6_selection_checks"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert len(kept) == 1 and kept[0].count("strategy=merge") == 1
     assert "p_partkey" not in plan
+
+
+def test_blocks_of_cases_are_made_once(spark, monkeypatch):
+    """With one role a text; what stands below the cases is a table of blocks, and positions are read from it ahead."""
+    kept, keep = [], cluster.checkpointed
+
+    def noted(df):
+        kept.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return keep(df)
+
+    monkeypatch.setattr(q_evidence, "checkpointed", noted)
+    df = QUERIES["d12_cases"](spark, "/root/testdata/sf0.001")
+    (plan,) = [plan for columns, plan in kept if "role_hint" in columns]
+    assert plan.count("field_label") == 1
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # Sections meet blocks and cases; a text is cleaned once for its key and value.
+    assert plan.count("Join ") == 2 and plan.count("regexp_replace(coalesce(text") == 1
+
+
+def test_positions_read_ahead_give_the_same_scans(spark):
+    df = spark.range(60).select((F.col("id") % 4).alias("k"), F.col("id").alias("at"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
+    few, many = df.where("at < 40"), df.unionByName(df.where("at = 59").withColumn("at", F.lit(900).cast("long")))
+    for chunk in (1000, 50, 5):
+        for ahead in (df, many):
+            got = cluster.neighbours(few, ["k"], "at", ["v"], prev="p", next="n", chunk=chunk, positions=ahead)
+            assert rows(got) == rows(cluster.neighbours(few, ["k"], "at", ["v"], prev="p", next="n", chunk=1000))
+            got = cluster.last_before(few, ["k"], "at", {"v": F.col("v")}, chunk=chunk, positions=ahead)
+            assert rows(got) == rows(cluster.last_before(few, ["k"], "at", {"v": F.col("v")}, chunk=1000))
